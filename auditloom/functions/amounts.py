@@ -1,7 +1,5 @@
 """Amount expressions: total check, first digits, anomaly features."""
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,20 +25,6 @@ def first_digit(amount: Column) -> Column:
     return F.when(counted & code.between(49, 57), code - 48)
 
 
-def digit_counts(digits: Column) -> dict[str, Column]:
-    """d1..d9 of an array of first digits."""
-    return {
-        f"d{d}": F.size(F.filter(digits, lambda x, d=d: x == d)).cast("bigint") for d in DIGITS
-    }
-
-
-def sum_columns(columns: Iterable[Column]) -> Column:
-    total = None
-    for column in columns:
-        total = column if total is None else total + column
-    return total
-
-
 def anomaly_features(n_lines: Column, line_sum: Column, ht: Column, ttc: Column) -> dict[str, Column]:
     """The four inputs of the forest; all null unless TTC is positive."""
     usable = ttc > 0

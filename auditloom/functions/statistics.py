@@ -1,37 +1,51 @@
 """Chi-square test of first digits against the Benford law, as column expressions."""
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.functions.amounts import DIGITS, sum_columns
+from auditloom.functions.amounts import DIGIT_COLUMNS, DIGITS
 
 EXPECTED_SHARE = {d: math.log10(1 + 1 / d) for d in DIGITS}
 
 
-def chi_square(counts: dict[int, Column], total: Column) -> Column:
-    """Statistic of observed digit counts; null when nothing was counted."""
-    some = F.when(total > 0, total)
-    return sum_columns(
-        (counts[d] - some * EXPECTED_SHARE[d]) * (counts[d] - some * EXPECTED_SHARE[d])
-        / (some * EXPECTED_SHARE[d])
-        for d in DIGITS
-    )
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once.
+
+    A filter on a derived column is pushed below the projection that derives it,
+    which would copy a long expression to each place it is used.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def chi_square(counts: list[Column]) -> Column:
+    """Statistic of the observed digit counts; null when nothing was counted."""
+    observed = F.array(*counts)
+    shares = F.array(*[F.lit(share) for share in EXPECTED_SHARE.values()])
+    total = F.aggregate(observed, F.lit(0).cast("bigint"), lambda t, o: t + o)
+
+    def statistic(n: Column) -> Column:
+        terms = F.zip_with(observed, shares, lambda o, p: (o - n * p) * (o - n * p) / (n * p))
+        return F.when(n > 0, F.aggregate(terms, F.lit(0.0), lambda t, x: t + x))
+
+    return let(total, statistic)
 
 
 def chi_square_pvalue(statistic: Column) -> Column:
     """Upper tail for 8 degrees of freedom, which has a closed form."""
-    half = statistic / 2
-    return F.exp(-half) * (1 + half + half * half / 2 + half * half * half / 6)
+    return let(
+        statistic / 2, lambda y: F.exp(-y) * (1 + y + y * y / 2 + y * y * y / 6)
+    )
 
 
-def benford_test(df, min_amounts: int):
+def benford_test(df: DataFrame, min_amounts: int) -> DataFrame:
     """Add n_digits, chi2 and pvalue (both unrounded, null when too few amounts)."""
-    counts = {d: F.col(f"d{d}") for d in DIGITS}
+    counts = [F.col(name) for name in DIGIT_COLUMNS]
     enough = (F.col("n_amounts") >= min_amounts) & (F.col("n_digits") >= min_amounts)
     return (
-        df.withColumn("n_digits", sum_columns(counts.values()))
-        .withColumn("chi2", F.when(enough, chi_square(counts, F.col("n_digits"))))
+        df.withColumn("n_digits", F.expr(" + ".join(DIGIT_COLUMNS)))
+        .withColumn("chi2", F.when(enough, chi_square(counts)))
         .withColumn("pvalue", chi_square_pvalue(F.col("chi2")))
     )

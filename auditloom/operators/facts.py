@@ -8,7 +8,7 @@ line array (row-local, no shuffle) or from a header table and a long line table
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.functions.amounts import DIGIT_COLUMNS, DIGITS, digit_counts, first_digit
+from auditloom.functions.amounts import DIGIT_COLUMNS, DIGITS, first_digit
 
 HEADER_COLUMNS = [
     "invoice_idx",
@@ -35,12 +35,12 @@ def facts_from_invoices(invoices: DataFrame) -> DataFrame:
         ).alias("amounts"),
     )
     rows = rows.withColumn("digits", F.transform("amounts", first_digit))
-    return rows.select(
+    return rows.selectExpr(
         *HEADER_COLUMNS,
         "n_lines",
         "line_sum",
-        F.size("amounts").cast("bigint").alias("n_amounts"),
-        *[count.alias(name) for name, count in digit_counts(F.col("digits")).items()],
+        "cast(size(amounts) as bigint) as n_amounts",
+        *[f"cast(size(filter(digits, x -> x = {d})) as bigint) as d{d}" for d in DIGITS],
     )
 
 
@@ -51,7 +51,7 @@ def line_statistics(lines: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("total_ligne").alias("line_sum"),
         F.count_if(F.col("total_ligne") > 0).alias("n_amounts"),
-        *[F.count_if(F.col("digit") == d).alias(f"d{d}") for d in DIGITS],
+        *[F.expr(f"count_if(digit = {d}) as d{d}") for d in DIGITS],
     )
 
 
@@ -61,18 +61,10 @@ def facts_from_lines(headers: DataFrame, statistics: DataFrame) -> DataFrame:
         statistics, "invoice_idx", "left"
     )
 
-    def or_zero(name: str):
-        return F.coalesce(F.col(name), F.lit(0))
-
-    return joined.select(
+    return joined.selectExpr(
         *HEADER_COLUMNS,
-        or_zero("n_lines").alias("n_lines"),
-        F.coalesce("line_sum", F.lit(0.0)).alias("line_sum"),
-        (
-            or_zero("n_amounts") + F.when(F.col("total_ttc") > 0, 1).otherwise(0)
-        ).alias("n_amounts"),
-        *[
-            (or_zero(f"d{d}") + F.when(F.col("digit") == d, 1).otherwise(0)).alias(f"d{d}")
-            for d in DIGITS
-        ],
+        "coalesce(n_lines, 0) as n_lines",
+        "coalesce(line_sum, 0d) as line_sum",
+        "coalesce(n_amounts, 0) + if(total_ttc > 0, 1, 0) as n_amounts",
+        *[f"coalesce(d{d}, 0) + if(digit = {d}, 1, 0) as d{d}" for d in DIGITS],
     )

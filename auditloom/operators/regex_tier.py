@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from auditloom import fixed_values as fixed
+from auditloom.functions.statistics import let
 from auditloom.functions.text import SPACE, ascii_digits, strip
 from auditloom.schema import LINES
 
@@ -52,21 +53,25 @@ def invoice_lines(text: Column, total: Column) -> Column:
         F.transform(F.regexp_extract_all(text, pattern, F.lit(1)), strip).alias("designation"),
         F.transform(F.regexp_extract_all(text, pattern, F.lit(2)), _amount).alias("amount"),
     )
-    kept = F.filter(
-        pairs,
-        lambda p: ~p["designation"].rlike("(?iu)" + fixed.NOT_A_LINE)
-        & (p["amount"] > 0)
-        & (p["amount"] < total),
-    )
-    lines = F.transform(
-        kept,
-        lambda p: F.struct(
+
+    def kept(largest: Column) -> Column:
+        return F.filter(
+            pairs,
+            lambda p: ~p["designation"].rlike("(?iu)" + fixed.NOT_A_LINE)
+            & (p["amount"] > 0)
+            & (p["amount"] < largest),
+        )
+
+    def as_line(p: Column) -> Column:
+        return F.struct(
             p["designation"].alias("designation"),
             F.lit(1.0).alias("quantite"),
             p["amount"].alias("prix_unitaire"),
             p["amount"].alias("total_ligne"),
-        ),
-    )
+        )
+
+    # the costly pattern is not even tried on a text without amounts
+    lines = let(total, lambda t: F.when(t.isNotNull(), F.transform(kept(t), as_line)))
     return F.coalesce(lines, F.array().cast(LINES))
 
 

@@ -51,6 +51,8 @@ class AuditParams:
     # 1/hot_share keys can be hot, which bounds what is broadcast
     hot_min_rows: int = 1_000_000
     hot_share: float = 1e-4
+    # cells of up to this many rows yield candidate pairs, larger ones are tiled
+    pair_rows: int = 50
     # rows per side of one similarity task
     tile_rows: int = 1_000
     # reference points that split given vectors into cells

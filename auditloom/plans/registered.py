@@ -90,8 +90,7 @@ def similar_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def similar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoices = star.document_invoices(spark, sf_dir)
-    digests = materialise(duplicates.text_digests(invoices))
-    similar = similarity.similar_texts(invoices, digests, PARAMS, neighbours=5)
+    similar = similarity.similar_texts(invoices, PARAMS, neighbours=5)
     return _long(similar, "rank").select(
         "invoice_idx", "rank", "similar_idx", "similarity", "fournisseur", "total_ttc"
     )
@@ -99,8 +98,7 @@ def similar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semantic_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoices = star.document_invoices(spark, sf_dir)
-    digests = materialise(duplicates.text_digests(invoices))
-    similar = similarity.similar_texts(invoices, digests, PARAMS)
+    similar = similarity.similar_texts(invoices, PARAMS)
     found = similarity.check_semantic_duplicates(similar, PARAMS)
     return _long(found, "rank").select(
         "invoice_idx", "rank", "similar_idx", "similarity", "rule", "level", "detail"
