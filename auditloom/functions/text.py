@@ -3,6 +3,7 @@
 import string
 import sys
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,17 +32,19 @@ def supplier_key(col: Column) -> Column:
     return strip(F.lower(col))
 
 
-def ascii_digits(col: Column) -> Column:
-    """Replace decimal digits of any script by 0-9, so that a cast reads them."""
+@cache
+def _other_digits() -> tuple[str, str]:
+    """Decimal digits outside ASCII, and their values."""
     others = [
-        chr(c)
-        for c in range(128, sys.maxunicode + 1)
-        if unicodedata.category(chr(c)) == "Nd"
+        chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"
     ]
-    values = "".join(str(unicodedata.decimal(c)) for c in others)
-    return F.when(
-        col.rlike(r"[^\x00-\x7f]"), F.translate(col, "".join(others), values)
-    ).otherwise(col)
+    return "".join(others), "".join(str(unicodedata.decimal(c)) for c in others)
+
+
+def ascii_digits(col: Column) -> Column:
+    """Replace decimal digits of any script by 0-9, so that a cast reads them."""
+    others, values = _other_digits()
+    return F.when(col.rlike(r"[^\x00-\x7f]"), F.translate(col, others, values)).otherwise(col)
 
 
 def fill_template(template: str, values: dict[str, Column]) -> Column:

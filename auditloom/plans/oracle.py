@@ -1 +1,464 @@
-ORACLE_SQL: dict[str, str] = {}
+"""The registered queries as plain SQL over the same tables, written independently."""
+
+from auditloom import fixed_values as fixed
+from auditloom.functions.statistics import EXPECTED_SHARE
+
+_METHODS = ", ".join(f"'{m}'" for m in fixed.EXTRACTION_METHODS)
+
+_INVOICES = f"""
+WITH per_order AS (
+  SELECT l_orderkey, count(*) AS n_lines, sum(l_extendedprice) AS line_sum,
+    CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))), 2) AS DOUBLE) AS net,
+    CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+      * CAST(l_tax AS DECIMAL(4,2))), 2) AS DOUBLE) AS tax
+  FROM lineitem GROUP BY l_orderkey),
+invoices AS (
+  SELECT o_orderkey AS invoice_idx, CAST(o_orderkey AS VARCHAR) AS numero_facture,
+    c_name AS fournisseur, strftime(o_orderdate, '%d/%m/%Y') AS date_facture,
+    CASE WHEN o_orderstatus <> 'P' THEN net END AS total_ht,
+    CASE WHEN o_orderstatus <> 'P' THEN tax END AS tva_montant,
+    coalesce(CASE WHEN o_orderstatus = 'F' THEN round(net + tax, 2) END, o_totalprice) AS total_ttc,
+    list_extract([{_METHODS}], CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS extraction_method,
+    coalesce(n_lines, 0) AS n_lines, coalesce(line_sum, 0.0) AS line_sum
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN per_order ON l_orderkey = o_orderkey)
+"""
+
+_LINES_FOUND = """
+  SELECT invoice_idx, line_sum, reference FROM (
+    SELECT *, CASE WHEN total_ht <> 0 THEN total_ht WHEN total_ttc <> 0 THEN total_ttc END AS reference
+    FROM invoices WHERE extraction_method <> 'regex_fallback' AND n_lines > 0)
+  WHERE abs(line_sum - reference) > 0.05 * reference + 0.02
+"""
+
+_TTC_FOUND = """
+  SELECT invoice_idx, round(total_ht + tva_montant, 2) AS expected_ttc, total_ttc
+  FROM invoices WHERE extraction_method <> 'regex_fallback'
+    AND abs(round(total_ht + tva_montant, 2) - total_ttc) > 0.05
+"""
+
+_DETAIL_LINES = f"printf('{fixed.DETAIL_LINES}', line_sum, reference)"
+_DETAIL_TTC = f"printf('{fixed.DETAIL_TTC}', expected_ttc, total_ttc)"
+
+_ZSCORE = """
+  SELECT *, (total_ttc - mu) / sigma AS z FROM (
+    SELECT invoice_idx, lower(fournisseur) AS supplier, total_ttc,
+      count(total_ttc) OVER w AS n_history, avg(total_ttc) OVER w AS mu, stddev_pop(total_ttc) OVER w AS sigma
+    FROM invoices WHERE fournisseur <> '' AND total_ttc IS NOT NULL
+    WINDOW w AS (PARTITION BY lower(fournisseur) ORDER BY invoice_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE n_history >= 5 AND sigma > 1e-12 * abs(mu) AND abs((total_ttc - mu) / sigma) > 3
+"""
+
+# first digits of all positive amounts, per invoice and in total
+_DIGITS = """
+amounts AS (
+  SELECT invoice_idx, total_ttc AS a FROM invoices WHERE total_ttc > 0
+  UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_extendedprice > 0),
+digits AS (
+  SELECT invoice_idx, CASE WHEN a >= 0.1 OR a < 0.0001
+    THEN CAST(regexp_extract(CAST(a AS VARCHAR), '[1-9]') AS INTEGER) END AS digit FROM amounts),
+per_invoice AS (
+  SELECT i.invoice_idx, count(d.invoice_idx) AS n_amounts, """ + ", ".join(
+    f"count(CASE WHEN digit = {d} THEN 1 END) AS d{d}" for d in EXPECTED_SHARE
+) + """
+  FROM invoices i LEFT JOIN digits d ON d.invoice_idx = i.invoice_idx GROUP BY i.invoice_idx)
+"""
+
+_N_DIGITS = " + ".join(f"d{d}" for d in EXPECTED_SHARE)
+_CHI2 = " + ".join(
+    f"pow(d{d} - n_digits * {share!r}, 2) / (n_digits * {share!r})" for d, share in EXPECTED_SHARE.items()
+)
+_TESTED = f"""
+tested AS (
+  SELECT *, exp(-chi2 / 2) * (1 + chi2 / 2 + pow(chi2 / 2, 2) / 2 + pow(chi2 / 2, 3) / 6) AS pvalue FROM (
+    SELECT *, CASE WHEN n_amounts >= 50 AND n_digits >= 50 THEN {_CHI2} END AS chi2 FROM (
+      SELECT *, {_N_DIGITS} AS n_digits FROM counted)))
+"""
+_COUNTS = ["n_amounts", *[f"d{d}" for d in EXPECTED_SHARE]]
+_RUNNING = (
+    _INVOICES
+    + ","
+    + _DIGITS
+    + ", counted AS (SELECT invoice_idx, "
+    + ", ".join(f"CAST(sum({c}) OVER w AS BIGINT) AS {c}" for c in _COUNTS)
+    + " FROM per_invoice WINDOW w AS (ORDER BY invoice_idx)),"
+    + _TESTED
+)
+_PORTFOLIO = (
+    _INVOICES
+    + ","
+    + _DIGITS
+    + ", counted AS (SELECT "
+    + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _COUNTS)
+    + " FROM per_invoice),"
+    + _TESTED
+)
+
+# --- texts -------------------------------------------------------------------------
+
+_IMAGE = "printf('scan/%09d.png', {})"
+
+_TEXTS = f"""
+WITH body AS (
+  SELECT l_orderkey, string_agg(printed, chr(10) ORDER BY l_linenumber, printed) AS body FROM (
+    SELECT l_orderkey, l_linenumber, 'Part ' || l_partkey || ' x ' || CAST(l_quantity AS INTEGER)
+      || '   ' || printf('%.2f', l_extendedprice) AS printed FROM lineitem)
+  GROUP BY l_orderkey),
+texts AS (
+  SELECT o_orderkey, {_IMAGE.format('o_orderkey')} AS image_path,
+    chr(10) || '  ' || coalesce(c_name, '') || ' ' || chr(10) || 'Date '
+    || CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%d/%m/%Y')
+         WHEN 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'none' END
+    || chr(10) || coalesce(body, '') || chr(10) || 'TOTAL ' || printf('%.2f', o_totalprice) || chr(10) AS full_text
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN body ON l_orderkey = o_orderkey)
+"""
+
+
+def _regex_fields(text: str) -> str:
+    """Columns of the regex tier: fournisseur, date_facture, total_ttc, lines (list of structs)."""
+    amounts = f"list_transform(regexp_extract_all({text}, '(\\d+[.,]\\d{{2}})', 1), x -> CAST(replace(x, ',', '.') AS DOUBLE))"
+    line = r"(?m)(.{2,40}?)\s+(\d+[.,]\d{2})\s*$"
+    return f"""
+    coalesce(nullif(regexp_extract({text}, '{fixed.DATE_DAY_FIRST}', 1), ''),
+             nullif(regexp_extract({text}, '{fixed.DATE_YEAR_FIRST}', 1), '')) AS date_facture,
+    {amounts} AS amounts, list_max({amounts}) AS total_ttc,
+    nullif(trim(split_part(regexp_replace({text}, '^\\s+', ''), chr(10), 1), ' ' || chr(9) || chr(13)), '') AS fournisseur,
+    list_filter(
+      list_zip(list_transform(regexp_extract_all({text}, '{line}', 1), x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+               list_transform(regexp_extract_all({text}, '{line}', 2), x -> CAST(replace(x, ',', '.') AS DOUBLE))),
+      p -> NOT regexp_matches(p[1], '(?i){fixed.NOT_A_LINE}') AND p[2] > 0 AND p[2] < list_max({amounts})) AS lines"""
+
+
+_REGEX = _TEXTS + ", read AS (SELECT image_path, " + _regex_fields("full_text") + " FROM texts)"
+
+# --- model answers -------------------------------------------------------------------
+
+_ANSWERS = (
+    _INVOICES
+    + f""",
+items AS (
+  SELECT l_orderkey, string_agg(item, ', ' ORDER BY l_linenumber, item) AS items FROM (
+    SELECT l_orderkey, l_linenumber, '{{"designation": "Part ' || l_partkey || '", "quantite": '
+      || CAST(l_quantity AS INTEGER) || ', "total_ligne": ' || printf('%.2f', l_extendedprice) || '}}' AS item
+    FROM lineitem) GROUP BY l_orderkey),
+money AS (
+  SELECT invoice_idx, invoice_idx % 12 AS kind, printf('%.2f', total_ttc) AS ttc,
+    '{{"numero_facture": "' || numero_facture || '", "fournisseur": "' || fournisseur || '", "date_facture": "'
+    || date_facture || '", "lignes": [' || coalesce(items, '') || '], "total_ht": '
+    || coalesce(printf('%.2f', total_ht), 'null') || ', "tva_montant": ' || coalesce(printf('%.2f', tva_montant), 'null')
+    || ', "total_ttc": ' || printf('%.2f', total_ttc) || '}}' AS good
+  FROM invoices LEFT JOIN items ON l_orderkey = invoice_idx),
+raws AS (
+  SELECT invoice_idx, 'vlm' AS method, CASE kind WHEN 0 THEN '```json' || chr(10) || good || chr(10) || '```' || chr(10)
+      WHEN 1 THEN '```' || good WHEN 2 THEN substr(good, 2)
+      WHEN 3 THEN '{{"fournisseur": 12, "total_ttc": ' || ttc || '}}'
+      WHEN 4 THEN '{{"fournisseur": "A", "total_ttc": "' || ttc || ' "}}'
+      WHEN 5 THEN '{{"fournisseur": "A", "total_ttc": "' || ttc || ' EUR"}}'
+      WHEN 6 THEN '{{"lignes": null}}' WHEN 7 THEN '[1, 2]' WHEN 8 THEN '{{"raw_text": "x"}}'
+      WHEN 9 THEN NULL ELSE good END AS raw FROM money
+  UNION ALL SELECT invoice_idx, 'vlm_retry', CASE WHEN kind IN (3, 7) THEN good WHEN kind = 6 THEN '{{}}'
+      WHEN kind = 2 THEN substr(good, 2) END FROM money
+  UNION ALL SELECT invoice_idx, 'ocr_llm', CASE WHEN kind IN (1, 8) THEN substr(good, 2)
+      WHEN kind = 9 THEN '```json' || chr(10) || good || chr(10) || '```' || chr(10) END FROM money
+  UNION ALL SELECT invoice_idx, 'ocr_llm_retry', CASE WHEN kind = 8 THEN good END FROM money),
+answers AS (
+  SELECT invoice_idx, method, CASE WHEN NOT starts_with(t, '```') THEN t
+      WHEN contains(t, chr(10)) THEN regexp_replace(substr(t, instr(t, chr(10)) + 1), '(?s)^(.*)```.*$', '\\1') END AS answer
+  FROM (SELECT *, trim(raw, ' ' || chr(10)) AS t FROM raws)),
+typed AS (
+  SELECT *, CASE WHEN json_valid(answer) THEN answer END AS j FROM answers),
+checked AS (
+  SELECT *, coalesce(json_type(j) = 'OBJECT'
+      AND json_type(j, '$.raw_text') IS NULL AND json_type(j, '$.extraction_method') IS NULL
+      AND coalesce(json_type(j, '$.numero_facture') IN ('VARCHAR', 'NULL'), true)
+      AND coalesce(json_type(j, '$.fournisseur') IN ('VARCHAR', 'NULL'), true)
+      AND coalesce(json_type(j, '$.date_facture') IN ('VARCHAR', 'NULL'), true)
+      AND coalesce(json_type(j, '$.lignes') = 'ARRAY', true)
+      AND (coalesce(json_type(j, '$.total_ttc'), 'NULL') = 'NULL'
+        OR TRY_CAST(trim(json_extract_string(j, '$.total_ttc')) AS DOUBLE) IS NOT NULL), false) AS valid
+  FROM typed),
+parsed AS (
+  SELECT *, abs(total_ttc - round(total_ht + tva_montant, 2)) <= 0.05 AS pydantic_ttc_valid FROM (
+    SELECT invoice_idx, method, valid, answer,
+      CASE WHEN valid THEN json_extract_string(j, '$.numero_facture') END AS numero_facture,
+      CASE WHEN valid THEN json_extract_string(j, '$.fournisseur') END AS fournisseur,
+      CASE WHEN valid THEN json_extract_string(j, '$.date_facture') END AS date_facture,
+      CASE WHEN valid THEN TRY_CAST(json_extract_string(j, '$.total_ht') AS DOUBLE) END AS total_ht,
+      CASE WHEN valid THEN TRY_CAST(json_extract_string(j, '$.tva_montant') AS DOUBLE) END AS tva_montant,
+      CASE WHEN valid THEN TRY_CAST(trim(json_extract_string(j, '$.total_ttc')) AS DOUBLE) END AS total_ttc,
+      CASE WHEN valid THEN CAST(coalesce(json_array_length(j, '$.lignes'), 0) AS BIGINT) END AS n_lines,
+      CASE WHEN valid THEN round(coalesce(list_sum(list_transform(
+        CAST(json_extract(j, '$.lignes[*].total_ligne') AS VARCHAR[]), x -> CAST(x AS DOUBLE))), 0.0), 2) END AS line_sum
+    FROM checked))
+"""
+)
+
+_TIERS = (
+    _ANSWERS.replace("WITH per_order", _REGEX.replace("WITH body", "WITH body", 1) + ", per_order", 1)
+    + """,
+fallback AS (
+  SELECT CAST(substr(image_path, 6, 9) AS BIGINT) AS invoice_idx, fournisseur, date_facture, total_ttc,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    round(coalesce(list_sum(list_transform(lines, p -> p[2])), 0.0), 2) AS line_sum FROM read),
+state AS (
+  SELECT invoice_idx,
+    bool_or(method = 'vlm' AND answer IS NOT NULL AND NOT valid) AS vlm_again,
+    bool_or(method = 'ocr_llm' AND answer IS NOT NULL AND NOT valid) AS ocr_again
+  FROM parsed GROUP BY invoice_idx),
+usable AS (
+  SELECT p.*, row_number() OVER (PARTITION BY p.invoice_idx ORDER BY list_position(
+      ['vlm', 'vlm_retry', 'ocr_llm', 'ocr_llm_retry'], method)) AS n
+  FROM parsed p JOIN state s ON s.invoice_idx = p.invoice_idx
+  WHERE valid AND (method IN ('vlm', 'ocr_llm') OR (method = 'vlm_retry' AND vlm_again)
+    OR (method = 'ocr_llm_retry' AND ocr_again))),
+chosen AS (
+  SELECT f.invoice_idx, coalesce(u.method, 'regex_fallback') AS extraction_method, u.numero_facture,
+    CASE WHEN u.n = 1 THEN u.fournisseur ELSE f.fournisseur END AS fournisseur,
+    CASE WHEN u.n = 1 THEN u.date_facture ELSE f.date_facture END AS date_facture,
+    u.total_ht, u.tva_montant,
+    CASE WHEN u.n = 1 THEN u.total_ttc ELSE f.total_ttc END AS total_ttc, u.pydantic_ttc_valid,
+    CASE WHEN u.n = 1 THEN u.n_lines ELSE f.n_lines END AS n_lines,
+    CASE WHEN u.n = 1 THEN u.line_sum ELSE f.line_sum END AS line_sum
+  FROM fallback f LEFT JOIN usable u ON u.invoice_idx = f.invoice_idx AND u.n = 1)
+"""
+)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _filled(template: str, **values: str) -> str:
+    """SQL expression for the template with its placeholders filled."""
+    whole = _quoted(template.replace("{{", "\x01").replace("}}", "\x02"))
+    for name, value in values.items():
+        whole = whole.replace("{" + name + "}", f"' || {value} || '")
+    return whole.replace("\x01", "{").replace("\x02", "}")
+
+
+# --- similarity --------------------------------------------------------------------------
+
+_TEXT_PAIRS = """
+WITH worded AS (
+  SELECT doc_id, source, CAST(n_chars AS DOUBLE) AS ttc, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+terms AS (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS term
+  FROM worded),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+contents AS (SELECT min(doc_id) AS id, list_aggregate(w, 'string_agg', ' ') AS c FROM worded WHERE len(w) > 0 GROUP BY c),
+tf1 AS (SELECT tf.* FROM tf JOIN contents ON id = doc_id),
+df AS (SELECT term, count(*) AS df FROM tf1 GROUP BY term),
+weighted AS (
+  SELECT doc_id, tf1.term, tf * (1 + ln(((SELECT count(*) FROM contents) + 1) / (df + 1))) AS weight
+  FROM tf1 JOIN df ON df.term = tf1.term),
+norms AS (SELECT doc_id, sqrt(sum(weight * weight)) AS norm FROM weighted GROUP BY doc_id),
+unit AS (SELECT w.doc_id, term, weight / norm AS u FROM weighted w JOIN norms n ON n.doc_id = w.doc_id),
+dots AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, round(sum(a.u * b.u), 6) AS s
+  FROM unit a JOIN unit b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+  HAVING round(sum(a.u * b.u), 6) >= 0.85),
+member AS (SELECT doc_id, source, ttc, id FROM worded JOIN contents ON c = list_aggregate(w, 'string_agg', ' ') WHERE len(w) > 0),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, 1.0 AS s FROM member a JOIN member b ON a.id = b.id AND a.doc_id <> b.doc_id
+  UNION ALL
+  SELECT a.doc_id, b.doc_id, s FROM dots JOIN member a ON a.id = x JOIN member b ON b.id = y),
+ranked AS (
+  SELECT pairs.x, y, row_number() OVER (PARTITION BY pairs.x ORDER BY s DESC, y) AS rank, round(s, 3) AS similarity,
+    lower(trim(q.source)) AS supplier, lower(trim(m.source)) AS fournisseur, m.ttc AS total_ttc
+  FROM pairs JOIN member q ON q.doc_id = pairs.x JOIN member m ON m.doc_id = y)
+"""
+
+_SEMANTIC_DETAIL = (
+    "printf('Doublon semantique (sim=%.3f, fournisseur=%s, ttc=%s)', similarity, fournisseur, printf('%.1f', total_ttc))"
+)
+
+_RULES = (
+    _RUNNING
+    + f""",
+later AS (
+  SELECT doc_id AS invoice_idx FROM (
+    SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS n
+    FROM documents JOIN invoices ON invoice_idx = doc_id
+    WHERE extraction_method NOT LIKE 'vlm%' AND trim(text) <> '') WHERE n > 1),
+alerts AS (
+  SELECT invoice_idx, 1 AS seq, 'arithmetic_lines' AS rule, 'warning' AS level FROM ({_LINES_FOUND})
+  UNION ALL SELECT invoice_idx, 2, 'arithmetic_ttc', 'warning' FROM ({_TTC_FOUND})
+  UNION ALL SELECT invoice_idx, 3, 'hash_duplicate', 'critical' FROM later
+  UNION ALL SELECT invoice_idx, 5, 'zscore', 'warning' FROM ({_ZSCORE})
+  UNION ALL SELECT invoice_idx, 7, 'benford', 'warning' FROM tested WHERE pvalue < 0.05),
+grouped AS (
+  SELECT invoice_idx, count(*) AS n_alerts, string_agg(rule, ',' ORDER BY seq) AS rules,
+    bool_or(level = 'critical') AS critical FROM alerts GROUP BY invoice_idx),
+reports AS (
+  SELECT i.invoice_idx, numero_facture AS invoice_id,
+    CASE WHEN critical THEN 'critical' WHEN n_alerts > 0 THEN 'warning' ELSE 'ok' END AS overall_level,
+    round(pvalue, 6) AS benford_pvalue, coalesce(n_alerts, 0) AS n_alerts, coalesce(rules, '') AS rules
+  FROM invoices i LEFT JOIN grouped g ON g.invoice_idx = i.invoice_idx LEFT JOIN tested t ON t.invoice_idx = i.invoice_idx)
+"""
+)
+
+_ALERT_TEXT = (
+    _INVOICES
+    + f""",
+found AS (
+  SELECT invoice_idx, 1 AS seq, '- [WARNING] arithmetic_lines: ' || {_DETAIL_LINES} AS line FROM ({_LINES_FOUND})
+  UNION ALL SELECT invoice_idx, 2, '- [WARNING] arithmetic_ttc: ' || {_DETAIL_TTC} FROM ({_TTC_FOUND})),
+told AS (SELECT invoice_idx, string_agg(line, chr(10) ORDER BY seq) AS alerts FROM found GROUP BY invoice_idx)
+"""
+)
+
+
+def _float(column: str) -> str:
+    """Amounts in cents below ten million print alike everywhere."""
+    return f"coalesce(CAST({column} AS VARCHAR), 'None')"
+
+
+_SHARES = " UNION ALL ".join(
+    f"SELECT CAST({d} AS BIGINT) AS digit, d{d} AS n, d{d} / n_digits AS o, {share!r} AS e FROM tested"
+    for d, share in EXPECTED_SHARE.items()
+)
+
+_BLOCKS = """
+WITH blocks AS (
+  SELECT doc_id, i - 1 AS block_no, parts[i] AS text, ((doc_id * 7 + (i - 1) * 13) % 64) / 64 AS confidence
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+    FROM documents)),
+kept AS (
+  SELECT doc_id, string_agg(text, chr(10) ORDER BY block_no) AS full_text, round(avg(confidence), 3) AS avg_confidence,
+    count(*) AS n_blocks FROM blocks WHERE confidence >= 0.3 GROUP BY doc_id)
+"""
+
+_KEPT = """
+  SELECT CAST(row_number() OVER (ORDER BY image_path) - 1 AS BIGINT) AS invoice_idx, image_path, length, sharpness FROM (
+    SELECT lang || '/' || doc_id || '.png' AS image_path, n_chars AS length,
+      CASE WHEN n_chars % 10 <> 0 THEN n_chars / 8 END AS sharpness FROM documents {cap})
+  WHERE sharpness >= 50
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "invoice_features": _INVOICES
+    + """SELECT invoice_idx, CASE WHEN total_ttc > 0 THEN round(total_ttc, 2) END AS f_amount,
+      CASE WHEN total_ttc > 0 THEN CAST(n_lines AS DOUBLE) END AS f_lines,
+      CASE WHEN total_ttc > 0 THEN round(CASE WHEN total_ht > 0 THEN total_ttc / total_ht ELSE 1.0 END, 6) END AS f_ratio,
+      CASE WHEN total_ttc > 0 THEN round(abs(total_ttc - line_sum) / total_ttc, 6) END AS f_gap FROM invoices""",
+    "arithmetic_lines": _INVOICES
+    + f"SELECT invoice_idx, round(line_sum, 2) AS line_sum, reference, {_DETAIL_LINES} AS detail FROM ({_LINES_FOUND})",
+    "arithmetic_ttc": _INVOICES + f"SELECT *, {_DETAIL_TTC} AS detail FROM ({_TTC_FOUND})",
+    "ttc_flag": _INVOICES
+    + "SELECT invoice_idx, abs(total_ttc - round(total_ht + tva_montant, 2)) <= 0.05 AS ttc_valid FROM invoices",
+    "hash_duplicates": """
+      SELECT invoice_idx, digest, 'Doublon exact detecte (hash=' || substr(digest, 1, 12) || '...)' AS detail FROM (
+        SELECT doc_id AS invoice_idx, sha256(text) AS digest,
+          row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS n
+        FROM documents WHERE regexp_matches(text, '\\S')) WHERE n > 1""",
+    "zscore_alerts": _INVOICES
+    + f"""SELECT invoice_idx, supplier, n_history, round(mu, 4) AS mu, round(sigma, 4) AS sigma, round(z, 6) AS z,
+      printf('{fixed.DETAIL_ZSCORE}', z, mu, sigma) AS detail FROM ({_ZSCORE})""",
+    "similar_topk": """
+      SELECT invoice_idx, CAST(rank AS BIGINT) AS rank, similar_idx, round(s, 3) AS similarity, label FROM (
+        SELECT a.vec_id AS invoice_idx, b.vec_id AS similar_idx, CAST(b.label AS BIGINT) AS label,
+          round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s,
+          row_number() OVER (PARTITION BY a.vec_id ORDER BY
+            round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) DESC, b.vec_id) AS rank
+        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE s >= 0.4 AND rank <= 3""",
+    "similar_texts": _TEXT_PAIRS
+    + """SELECT x AS invoice_idx, rank, y AS similar_idx, similarity, fournisseur, total_ttc FROM ranked WHERE rank <= 5""",
+    "semantic_duplicates": _TEXT_PAIRS
+    + f"""SELECT x AS invoice_idx, rank, y AS similar_idx, similarity,
+        CASE WHEN similarity > 0.95 THEN 'semantic_duplicate' ELSE 'near_duplicate' END AS rule,
+        CASE WHEN similarity > 0.95 THEN 'critical' ELSE 'warning' END AS level,
+        CASE WHEN similarity > 0.95 THEN {_SEMANTIC_DETAIL}
+          ELSE printf('Facture tres similaire (sim=%.3f)', similarity) END AS detail
+      FROM ranked WHERE rank <= 3 AND (similarity > 0.95 OR (similarity > 0.85 AND supplier = fournisseur))""",
+    "benford_portfolio": _PORTFOLIO
+    + f"""SELECT {', '.join(_COUNTS)}, n_digits, round(chi2, 2) AS chi2, round(pvalue, 6) AS pvalue,
+      coalesce(pvalue < 0.05, false) AS anomaly FROM tested""",
+    "benford_running": _RUNNING
+    + "SELECT invoice_idx, n_amounts, n_digits, round(chi2, 4) AS chi2, round(pvalue, 6) AS pvalue FROM tested",
+    "benford_alerts": _RUNNING
+    + "SELECT invoice_idx, round(chi2, 2) AS chi2, round(pvalue, 6) AS pvalue FROM tested WHERE pvalue < 0.05",
+    "digit_distribution": _PORTFOLIO
+    + f"SELECT digit, n, round(o, 8) AS observed_share, round(e, 8) AS expected_share FROM ({_SHARES})",
+    "ocr_texts": _BLOCKS
+    + f"""SELECT {_IMAGE.format('d.doc_id')} AS image_path, coalesce(full_text, '') AS full_text,
+      coalesce(avg_confidence, 0.0) AS avg_confidence, coalesce(n_blocks, 0) AS n_blocks
+      FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    "regex_dates": _REGEX + "SELECT image_path, date_facture FROM read",
+    "regex_amounts": _REGEX + "SELECT image_path, CAST(len(amounts) AS BIGINT) AS n_amounts, total_ttc FROM read",
+    "regex_supplier": _REGEX + "SELECT image_path, fournisseur FROM read",
+    "regex_lines": _REGEX
+    + """SELECT image_path, CAST(i AS BIGINT) AS line_no, lines[i][1] AS designation, lines[i][2] AS total_ligne FROM (
+        SELECT image_path, lines, unnest(range(1, len(lines) + 1)) AS i FROM read)""",
+    "regex_documents": f"""
+      SELECT doc_id AS invoice_idx, fournisseur, date_facture, total_ttc, CAST(len(lines) AS BIGINT) AS n_lines,
+        round(coalesce(list_sum(list_transform(lines, p -> p[2])), 0.0), 2) AS line_sum
+      FROM (SELECT doc_id, {_regex_fields('text')} FROM documents)""",
+    "response_parse": _ANSWERS
+    + f"""SELECT {_IMAGE.format('invoice_idx')} AS image_path, method, valid, numero_facture, fournisseur, date_facture,
+      total_ht, tva_montant, total_ttc, pydantic_ttc_valid, n_lines, line_sum FROM parsed""",
+    "tier_choice": _TIERS
+    + f"""SELECT {_IMAGE.format('invoice_idx')} AS image_path, extraction_method, numero_facture, fournisseur,
+      date_facture, total_ht, tva_montant, total_ttc, pydantic_ttc_valid,
+      CASE WHEN extraction_method NOT LIKE 'vlm%' THEN (invoice_idx % 64) / 64 END AS ocr_confidence,
+      extraction_method NOT LIKE 'vlm%' AS has_text, n_lines, line_sum FROM chosen""",
+    "first_requests": _TEXTS
+    + f"""SELECT image_path, 'vlm' AS tier, CAST(1 AS BIGINT) AS attempt, {_quoted(fixed.EXTRACTION_PROMPT)} AS prompt FROM texts
+      UNION ALL SELECT image_path, 'ocr_llm', 1, {_filled(fixed.OCR_PROMPT, ocr_text='full_text')} FROM texts
+      WHERE regexp_matches(full_text, '\\S')""",
+    "decision_parse": """
+      WITH raws AS (
+        SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN text || chr(10) || '  Decision: REVIEW - RAISON: ' || role || ' ' || chr(10) || 'end'
+          WHEN 1 THEN '```' || chr(10) || text || chr(10) || '```' ELSE text END AS raw FROM conversations),
+      answers AS (
+        SELECT *, nullif(CASE WHEN NOT starts_with(t, '```') THEN t WHEN contains(t, chr(10))
+          THEN regexp_replace(substr(t, instr(t, chr(10)) + 1), '(?s)^(.*)```.*$', '\\1') END, '') AS a
+        FROM (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM raws))
+      SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(
+        regexp_replace(list_filter(string_split(a, chr(10)), x -> contains(upper(x), 'DECISION:'))[1], '^\\s+|\\s+$', '', 'g'),
+        right(a, 200)) AS llm_decision FROM answers""",
+    "kept_images": _KEPT.format(cap=""),
+    "first_images": _KEPT.format(cap="ORDER BY image_path LIMIT 50"),
+    "index_records": _INVOICES
+    + """SELECT 'inv_' || i.invoice_idx AS id,
+      CASE WHEN extraction_method LIKE 'vlm%' THEN '' ELSE coalesce(text, '') END AS document,
+      lower(fournisseur) AS fournisseur, total_ttc, date_facture AS date, extraction_method, n_lines AS nb_lignes
+      FROM invoices i LEFT JOIN documents ON doc_id = i.invoice_idx""",
+    "index_upsert": _INVOICES
+    + """, updates AS (
+        SELECT 'inv_' || l_orderkey AS id, 'supplier ' || l_suppkey AS fournisseur, l_extendedprice AS total_ttc
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_suppkey DESC) AS n
+          FROM lineitem WHERE l_returnflag = 'R') WHERE n = 1)
+      SELECT * FROM updates UNION ALL
+      SELECT 'inv_' || invoice_idx, lower(fournisseur), total_ttc FROM invoices
+      WHERE 'inv_' || invoice_idx NOT IN (SELECT id FROM updates)""",
+    "audit_report": _RULES + "SELECT * FROM reports",
+    "alert_text": _ALERT_TEXT + "SELECT * FROM told",
+    "fraud_requests": _ALERT_TEXT
+    + "SELECT i.invoice_idx, "
+    + _filled(
+        fixed.FRAUD_PROMPT,
+        fournisseur="fournisseur",
+        date="date_facture",
+        total_ht=_float("total_ht"),
+        tva_montant=_float("tva_montant"),
+        total_ttc=_float("total_ttc"),
+        nb_lignes="n_lines",
+        method="extraction_method",
+        alerts="alerts",
+    )
+    + " AS prompt FROM invoices i JOIN told t ON t.invoice_idx = i.invoice_idx",
+    "level_counts": _RULES
+    + """SELECT l.overall_level, count(r.invoice_idx) AS n,
+      round(count(r.invoice_idx) / (SELECT count(*) FROM reports), 8) AS share
+      FROM (VALUES ('ok'), ('warning'), ('critical')) l(overall_level)
+      LEFT JOIN reports r ON r.overall_level = l.overall_level GROUP BY l.overall_level""",
+    "first_report": _RULES
+    + "SELECT invoice_idx, overall_level, rules FROM reports WHERE n_alerts > 0 ORDER BY invoice_idx LIMIT 1",
+    "method_counts": _INVOICES
+    + "SELECT extraction_method, count(*) AS n FROM invoices GROUP BY extraction_method",
+    "amount_histogram": _INVOICES
+    + """, r AS (SELECT min(total_ttc) AS low, max(total_ttc) AS high FROM invoices WHERE total_ttc > 0),
+      b AS (SELECT unnest(range(1, 21)) AS bin, low, (high - low) / 20 AS w FROM r)
+      SELECT bin, round(low + (bin - 1) * w, 4) AS bin_from, round(low + bin * w, 4) AS bin_to,
+        (SELECT count(*) FROM invoices i WHERE i.total_ttc > 0
+          AND least(CAST(floor((i.total_ttc - b.low) / b.w) AS BIGINT) + 1, 20) = b.bin) AS n FROM b""",
+}
