@@ -115,7 +115,7 @@ texts AS (
 
 def _regex_fields(text: str) -> str:
     """Columns of the regex tier: fournisseur, date_facture, total_ttc, lines (list of structs)."""
-    amounts = f"list_transform(regexp_extract_all({text}, '(\\d+[.,]\\d{{2}})', 1), x -> CAST(replace(x, ',', '.') AS DOUBLE))"
+    amounts = f"list_transform(regexp_extract_all({text}, '(\\d+[.,]\\d{{2}})', 1), lambda x: CAST(replace(x, ',', '.') AS DOUBLE))"
     line = r"(?m)(.{2,40}?)\s+(\d+[.,]\d{2})\s*$"
     return f"""
     coalesce(nullif(regexp_extract({text}, '{fixed.DATE_DAY_FIRST}', 1), ''),
@@ -123,9 +123,9 @@ def _regex_fields(text: str) -> str:
     {amounts} AS amounts, list_max({amounts}) AS total_ttc,
     nullif(trim(split_part(regexp_replace({text}, '^\\s+', ''), chr(10), 1), ' ' || chr(9) || chr(13)), '') AS fournisseur,
     list_filter(
-      list_zip(list_transform(regexp_extract_all({text}, '{line}', 1), x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
-               list_transform(regexp_extract_all({text}, '{line}', 2), x -> CAST(replace(x, ',', '.') AS DOUBLE))),
-      p -> NOT regexp_matches(p[1], '(?i){fixed.NOT_A_LINE}') AND p[2] > 0 AND p[2] < list_max({amounts})) AS lines"""
+      list_zip(list_transform(regexp_extract_all({text}, '{line}', 1), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+               list_transform(regexp_extract_all({text}, '{line}', 2), lambda x: CAST(replace(x, ',', '.') AS DOUBLE))),
+      lambda p: NOT regexp_matches(p[1], '(?i){fixed.NOT_A_LINE}') AND p[2] > 0 AND p[2] < list_max({amounts})) AS lines"""
 
 
 _REGEX = _TEXTS + ", read AS (SELECT image_path, " + _regex_fields("full_text") + " FROM texts)"
@@ -187,7 +187,7 @@ parsed AS (
       CASE WHEN valid THEN TRY_CAST(trim(json_extract_string(j, '$.total_ttc')) AS DOUBLE) END AS total_ttc,
       CASE WHEN valid THEN CAST(coalesce(json_array_length(j, '$.lignes'), 0) AS BIGINT) END AS n_lines,
       CASE WHEN valid THEN round(coalesce(list_sum(list_transform(
-        CAST(json_extract(j, '$.lignes[*].total_ligne') AS VARCHAR[]), x -> CAST(x AS DOUBLE))), 0.0), 2) END AS line_sum
+        CAST(json_extract(j, '$.lignes[*].total_ligne') AS VARCHAR[]), lambda x: CAST(x AS DOUBLE))), 0.0), 2) END AS line_sum
     FROM checked))
 """
 )
@@ -198,7 +198,7 @@ _TIERS = (
 fallback AS (
   SELECT CAST(substr(image_path, 6, 9) AS BIGINT) AS invoice_idx, fournisseur, date_facture, total_ttc,
     CAST(len(lines) AS BIGINT) AS n_lines,
-    round(coalesce(list_sum(list_transform(lines, p -> p[2])), 0.0), 2) AS line_sum FROM read),
+    round(coalesce(list_sum(list_transform(lines, lambda p: p[2])), 0.0), 2) AS line_sum FROM read),
 state AS (
   SELECT invoice_idx,
     bool_or(method = 'vlm' AND answer IS NOT NULL AND NOT valid) AS vlm_again,
@@ -241,7 +241,7 @@ _TEXT_PAIRS = """
 WITH worded AS (
   SELECT doc_id, source, CAST(n_chars AS DOUBLE) AS ttc, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
 terms AS (
-  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS term
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
   FROM worded),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
 contents AS (SELECT min(doc_id) AS id, list_aggregate(w, 'string_agg', ' ') AS c FROM worded WHERE len(w) > 0 GROUP BY c),
@@ -258,7 +258,7 @@ dots AS (
   HAVING round(sum(a.u * b.u), 6) >= 0.85),
 member AS (SELECT doc_id, source, ttc, id FROM worded JOIN contents ON c = list_aggregate(w, 'string_agg', ' ') WHERE len(w) > 0),
 pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, 1.0 AS s FROM member a JOIN member b ON a.id = b.id AND a.doc_id <> b.doc_id
+  SELECT a.doc_id AS x, b.doc_id AS y, CAST(1.0 AS DOUBLE) AS s FROM member a JOIN member b ON a.id = b.id AND a.doc_id <> b.doc_id
   UNION ALL
   SELECT a.doc_id, b.doc_id, s FROM dots JOIN member a ON a.id = x JOIN member b ON b.id = y),
 ranked AS (
@@ -313,7 +313,7 @@ def _float(column: str) -> str:
 
 
 _SHARES = " UNION ALL ".join(
-    f"SELECT CAST({d} AS BIGINT) AS digit, d{d} AS n, d{d} / n_digits AS o, {share!r} AS e FROM tested"
+    f"SELECT CAST({d} AS BIGINT) AS digit, d{d} AS n, d{d} / n_digits AS o, CAST({share!r} AS DOUBLE) AS e FROM tested"
     for d, share in EXPECTED_SHARE.items()
 )
 
@@ -390,7 +390,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT image_path, lines, unnest(range(1, len(lines) + 1)) AS i FROM read)""",
     "regex_documents": f"""
       SELECT doc_id AS invoice_idx, fournisseur, date_facture, total_ttc, CAST(len(lines) AS BIGINT) AS n_lines,
-        round(coalesce(list_sum(list_transform(lines, p -> p[2])), 0.0), 2) AS line_sum
+        round(coalesce(list_sum(list_transform(lines, lambda p: p[2])), 0.0), 2) AS line_sum
       FROM (SELECT doc_id, {_regex_fields('text')} FROM documents)""",
     "response_parse": _ANSWERS
     + f"""SELECT {_IMAGE.format('invoice_idx')} AS image_path, method, valid, numero_facture, fournisseur, date_facture,
@@ -413,7 +413,7 @@ ORACLE_SQL: dict[str, str] = {
           THEN regexp_replace(substr(t, instr(t, chr(10)) + 1), '(?s)^(.*)```.*$', '\\1') END, '') AS a
         FROM (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM raws))
       SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(
-        regexp_replace(list_filter(string_split(a, chr(10)), x -> contains(upper(x), 'DECISION:'))[1], '^\\s+|\\s+$', '', 'g'),
+        regexp_replace(list_filter(string_split(a, chr(10)), lambda x: contains(upper(x), 'DECISION:'))[1], '^\\s+|\\s+$', '', 'g'),
         right(a, 200)) AS llm_decision FROM answers""",
     "kept_images": _KEPT.format(cap=""),
     "first_images": _KEPT.format(cap="ORDER BY image_path LIMIT 50"),
