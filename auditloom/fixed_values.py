@@ -29,14 +29,14 @@ ISOLATION_FOREST = "isolation_forest"
 BENFORD = "benford"
 
 # --- Fixed values: alert texts ---------------------------------------------------
-DETAIL_LINES = "Somme lignes (%.2f) vs total (%.2f)"
-DETAIL_TTC = "HT+TVA (%.2f) != TTC (%.2f)"
-DETAIL_HASH = "Doublon exact detecte (hash=%s...)"
-DETAIL_SEMANTIC = "Doublon semantique (sim=%.3f, fournisseur=%s, ttc=%s)"
-DETAIL_NEAR = "Facture tres similaire (sim=%.3f)"
-DETAIL_ZSCORE = "Z-score=%.1f (moy=%.2f, sigma=%.2f)"
-DETAIL_FOREST = "Anomalie multivariee (IF score=%.3f)"
-DETAIL_BENFORD = "chi2=%s, p=%s"
+DETAIL_LINES = "Somme lignes ({line_sum:.2f}) vs total ({reference:.2f})"
+DETAIL_TTC = "HT+TVA ({expected_ttc:.2f}) != TTC ({total_ttc:.2f})"
+DETAIL_HASH = "Doublon exact detecte (hash={hash}...)"
+DETAIL_SEMANTIC = "Doublon semantique (sim={similarity:.3f}, fournisseur={fournisseur}, ttc={total_ttc})"
+DETAIL_NEAR = "Facture tres similaire (sim={similarity:.3f})"
+DETAIL_ZSCORE = "Z-score={z:.1f} (moy={mu:.2f}, sigma={sigma:.2f})"
+DETAIL_FOREST = "Anomalie multivariee (IF score={decision:.3f})"
+DETAIL_BENFORD = "chi2={chi2}, p={pvalue}"
 
 # --- Fixed values: image file extensions ----------------------------------------
 IMAGE_EXTENSIONS = ["jpg", "jpeg", "png", "tif", "tiff", "bmp"]

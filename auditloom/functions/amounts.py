@@ -3,13 +3,15 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from auditloom.functions.rounding import exact_round
+
 DIGITS = range(1, 10)
 DIGIT_COLUMNS = [f"d{d}" for d in DIGITS]
 
 
 def ttc_valid(ht: Column, tva: Column, ttc: Column, tolerance: float) -> Column:
     """Whether HT + TVA gives TTC; null while one of the three is missing."""
-    return F.abs(ttc - F.round(ht + tva, 2)) <= tolerance
+    return F.abs(ttc - exact_round(ht + tva, 2)) <= tolerance
 
 
 def first_digit(amount: Column) -> Column:

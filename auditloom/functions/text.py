@@ -8,6 +8,8 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from auditloom.functions.rounding import fixed_text
+
 # Unicode white space plus the four separators U+001C..U+001F
 SPACE = r"[\s\x1c-\x1f]"
 
@@ -47,14 +49,19 @@ def ascii_digits(col: Column) -> Column:
     return F.when(col.rlike(r"[^\x00-\x7f]"), F.translate(col, others, values)).otherwise(col)
 
 
-def fill_template(template: str, values: dict[str, Column]) -> Column:
-    """``template.format(**values)`` with columns; doubled braces become single ones."""
+def fill_template(template: str, values: dict[str, Column] | None = None) -> Column:
+    """``template.format(**values)`` with columns; doubled braces become single ones.
+
+    A field without a value is the column of that name. The one format spec known
+    is a number of decimals, as in ``{total:.2f}``.
+    """
     parts = []
-    for literal, field, _, _ in string.Formatter().parse(template):
+    for literal, field, spec, _ in string.Formatter().parse(template):
         if literal:
             parts.append(F.lit(literal))
         if field is not None:
-            parts.append(values[field])
+            value = (values or {}).get(field, F.col(field))
+            parts.append(fixed_text(value, int(spec[1:-1])) if spec else value)
     return F.concat(*parts)
 
 

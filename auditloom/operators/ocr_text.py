@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.functions.rounding import scaled_round
 from auditloom.params import AuditParams
 
 
@@ -12,7 +13,7 @@ def assemble_text(blocks: DataFrame, params: AuditParams = AuditParams()) -> Dat
     ordered = F.array_sort(F.collect_list(F.struct("block_no", "text")))
     return kept.groupBy("image_path").agg(
         F.array_join(F.transform(ordered, lambda b: b["text"]), "\n").alias("full_text"),
-        F.round(F.avg("confidence"), 3).alias("avg_confidence"),
+        scaled_round(F.avg("confidence"), 3).alias("avg_confidence"),
         F.count(F.lit(1)).alias("n_blocks"),
     )
 

@@ -36,8 +36,8 @@ _TTC_FOUND = """
     AND abs(round(total_ht + tva_montant, 2) - total_ttc) > 0.05
 """
 
-_DETAIL_LINES = f"printf('{fixed.DETAIL_LINES}', line_sum, reference)"
-_DETAIL_TTC = f"printf('{fixed.DETAIL_TTC}', expected_ttc, total_ttc)"
+_DETAIL_LINES = "printf('Somme lignes (%.2f) vs total (%.2f)', line_sum, reference)"
+_DETAIL_TTC = "printf('HT+TVA (%.2f) != TTC (%.2f)', expected_ttc, total_ttc)"
 
 _ZSCORE = """
   SELECT *, (total_ttc - mu) / sigma AS z FROM (
@@ -323,7 +323,7 @@ WITH blocks AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
     FROM documents)),
 kept AS (
-  SELECT doc_id, string_agg(text, chr(10) ORDER BY block_no) AS full_text, round(avg(confidence), 3) AS avg_confidence,
+  SELECT doc_id, string_agg(text, chr(10) ORDER BY block_no) AS full_text, round_even(avg(confidence), 3) AS avg_confidence,
     count(*) AS n_blocks FROM blocks WHERE confidence >= 0.3 GROUP BY doc_id)
 """
 
@@ -352,7 +352,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents WHERE regexp_matches(text, '\\S')) WHERE n > 1""",
     "zscore_alerts": _INVOICES
     + f"""SELECT invoice_idx, supplier, n_history, round(mu, 4) AS mu, round(sigma, 4) AS sigma, round(z, 6) AS z,
-      printf('{fixed.DETAIL_ZSCORE}', z, mu, sigma) AS detail FROM ({_ZSCORE})""",
+      printf('Z-score=%.1f (moy=%.2f, sigma=%.2f)', z, mu, sigma) AS detail FROM ({_ZSCORE})""",
     "similar_topk": """
       SELECT invoice_idx, CAST(rank AS BIGINT) AS rank, similar_idx, round(s, 3) AS similarity, label FROM (
         SELECT a.vec_id AS invoice_idx, b.vec_id AS similar_idx, CAST(b.label AS BIGINT) AS label,

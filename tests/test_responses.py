@@ -1,0 +1,184 @@
+"""Model answers: fences, coercion, rejection, tier choice, prompts and verdicts."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from auditloom import fixed_values as fixed
+from auditloom.operators import report, requests, responses, tiers
+from auditloom.schema import RESPONSES
+
+GOOD = '{"fournisseur": "A", "total_ht": 10, "tva_montant": 2.0, "total_ttc": 12.03}'
+
+# answer -> None when rejected, else some fields of the invoice
+CASES = [
+    (GOOD, {"fournisseur": "A", "total_ht": 10.0, "total_ttc": 12.03, "pydantic_ttc_valid": True}),
+    ('{"total_ht": 10, "tva_montant": 2, "total_ttc": 12.06}', {"pydantic_ttc_valid": False}),
+    ('{"total_ttc": "12.5"}', {"total_ttc": 12.5, "pydantic_ttc_valid": None}),
+    ('{"total_ttc": " 12.5 "}', {"total_ttc": 12.5}),
+    ('{"total_ttc": "1e3"}', {"total_ttc": 1000.0}),
+    ('{"total_ttc": "1_000"}', {"total_ttc": 1000.0}),
+    ('{"total_ttc": "nan"}', {"total_ttc": None}),
+    ('{"total_ttc": true}', {"total_ttc": 1.0}),
+    ('{"total_ttc": "12,5"}', None),
+    ('{"total_ttc": "12.5 EUR"}', None),
+    ('{"total_ttc": "12.5d"}', None),
+    ('{"total_ttc": ""}', None),
+    ('{"total_ttc": [1]}', None),
+    ('{"total_ttc": {"a": 1}}', None),
+    ('{"numero_facture": 42}', None),
+    ('{"numero_facture": null}', {"numero_facture": None, "lignes": []}),
+    ('{"lignes": null}', None),
+    ('{"lignes": {}}', None),
+    ('{"lignes": "x"}', None),
+    ('{"lignes": [1]}', None),
+    ('{"lignes": [null]}', None),
+    ('{"lignes": [{}]}', {"lignes": [("", 1.0, 0.0, 0.0)]}),
+    ('{"lignes": [{"designation": "d", "quantite": "2", "total_ligne": 5}]}', {"lignes": [("d", 2.0, 0.0, 5.0)]}),
+    ('{"lignes": [{"designation": null}]}', None),
+    ('{"lignes": [{"designation": 3}]}', None),
+    ('{"lignes": [{"quantite": null}]}', None),
+    ('{"lignes": [{"quantite": "two"}]}', None),
+    ('{"other": 1}', {"fournisseur": None, "lignes": []}),
+    ("[1, 2]", None),
+    ('"text"', None),
+    ("{", None),
+    ("", None),
+    ('{"raw_text": "x"}', None),
+    ('{"extraction_method": null}', None),
+    ('{"ocr_confidence": "0.5"}', {"ocr_confidence": 0.5}),
+    ('{"pydantic_ttc_valid": "yes"}', {"pydantic_ttc_valid": True}),
+    ('{"pydantic_ttc_valid": 0}', {"pydantic_ttc_valid": False}),
+    ('{"pydantic_ttc_valid": 2}', None),
+]
+
+
+def test_coercion_and_rejection(spark):
+    answers = spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(CASES)], "n int, raw string")
+    parsed = responses.parse_answers(answers, "raw", F.lit("vlm"), F.lit(None).cast("string"))
+    for row in parsed.collect():
+        raw, expected = CASES[row["n"]]
+        if expected is None:
+            assert row["invoice"] is None, raw
+            continue
+        assert row["invoice"] is not None, raw
+        for name, value in expected.items():
+            got = row["invoice"][name]
+            assert ([tuple(x) for x in got] if name == "lignes" else got) == value, raw
+
+
+@pytest.mark.parametrize(
+    "raw, cleaned",
+    [
+        ("  {} \n", "{}"),
+        ("```json\n{}\n```", "{}\n"),
+        ("```\na```b```\n", "a```b"),
+        ("```\nno end", "no end"),
+        ("```json {}```", None),
+        ("````\nx````", "x`"),
+        ("a ```b```", "a ```b```"),
+        (None, None),
+    ],
+)
+def test_fences(spark, raw, cleaned):
+    df = spark.createDataFrame([(raw,)], "raw string")
+    assert df.select(responses.clean_answer(F.col("raw"))).first()[0] == cleaned
+
+
+@pytest.mark.parametrize(
+    "raw, decision",
+    [
+        ("think\n  Decision: BLOCK - RAISON: x \nmore DECISION: no", "Decision: BLOCK - RAISON: x"),
+        ('{"answer": "DECISION: REVIEW"}', '{"answer": "DECISION: REVIEW"}'),
+        ("y" * 150 + "z" * 150, "y" * 50 + "z" * 150),
+        ("short", "short"),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_decisions(spark, raw, decision):
+    df = spark.createDataFrame([(raw,)], "raw string")
+    assert df.select(responses.decision(F.col("raw"))).first()[0] == decision
+
+
+TIERS = {
+    # image: (text, answers by (tier, attempt), expected method)
+    "a": ("Shop\nTea 1.00\nTOTAL 2.00", {("vlm", 1): GOOD, ("ocr_llm", 1): GOOD}, "vlm"),
+    "b": ("t", {("vlm", 1): "{", ("vlm", 2): GOOD}, "vlm_retry"),
+    "c": ("t", {("vlm", 1): None, ("vlm", 2): GOOD, ("ocr_llm", 1): GOOD}, "ocr_llm"),
+    "d": ("t", {("vlm", 1): "{", ("vlm", 2): "{", ("ocr_llm", 1): "{", ("ocr_llm", 2): GOOD}, "ocr_llm_retry"),
+    "e": (" ", {("ocr_llm", 1): GOOD}, "regex_fallback"),
+    "f": ("t", {("ocr_llm", 1): "``` {}", ("ocr_llm", 2): GOOD}, "regex_fallback"),
+    "g": ("Shop\nTea 1.00\nTOTAL 2.00", {}, "regex_fallback"),
+    "h": ("t", {("vlm", 2): GOOD}, "regex_fallback"),
+}
+
+
+def tier_tables(spark):
+    images = spark.createDataFrame(
+        [(name, text, 0.75) for name, (text, _, _) in TIERS.items()],
+        "image_path string, full_text string, avg_confidence double",
+    )
+    rows = [(name, *key, raw) for name, (_, answers, _) in TIERS.items() for key, raw in answers.items()]
+    return images, spark.createDataFrame(rows, RESPONSES)
+
+
+def test_tier_choice(spark):
+    rows = {r["image_path"]: r for r in tiers.extract_invoices(*tier_tables(spark)).collect()}
+    assert {name: r["extraction_method"] for name, r in rows.items()} == {n: t[2] for n, t in TIERS.items()}
+    assert (rows["a"]["raw_text"], rows["a"]["ocr_confidence"]) == (None, None)
+    assert (rows["c"]["raw_text"], rows["c"]["ocr_confidence"]) == ("t", 0.75)
+    assert (rows["g"]["fournisseur"], rows["g"]["total_ttc"]) == ("Shop", 2.0)
+    assert [x["designation"] for x in rows["g"]["lignes"]] == ["Tea"]
+
+
+def test_retry_prompts_carry_the_error(spark):
+    images, answers = tier_tables(spark)
+    more = spark.createDataFrame([("g", "vlm", 1, '{"lignes": null}')], RESPONSES)
+    got = {
+        (r["image_path"], r["tier"]): r["prompt"]
+        for r in requests.retry_requests(images, answers.unionByName(more)).collect()
+    }
+    assert set(got) == {("b", "vlm"), ("d", "vlm"), ("d", "ocr_llm"), ("g", "vlm")}
+    with pytest.raises(json.JSONDecodeError) as error:
+        json.loads("{")
+    assert got["b", "vlm"] == fixed.RETRY_PROMPT.format(error=str(error.value))
+    assert fixed.RETRY_SCHEMA_ERROR in got["g", "vlm"]
+    assert got["d", "ocr_llm"].endswith(fixed.RETRY_OCR_TEXT + "t")
+
+
+def test_first_prompts(spark):
+    images, _ = tier_tables(spark)
+    text = {r["image_path"]: r["prompt"] for r in requests.text_requests(images).collect()}
+    assert "e" not in text and text["a"] == fixed.OCR_PROMPT.format(ocr_text=TIERS["a"][0])
+    assert {r["prompt"] for r in requests.vision_requests(images).collect()} == {fixed.EXTRACTION_PROMPT}
+
+
+def test_fraud_prompt_and_verdict(spark):
+    facts = spark.createDataFrame(
+        [(0, "", None, None, 1.5, 100.0, None, 2, None), (1, "A", "d", 1.0, 1.0, 2.0, "vlm", 0, "7")],
+        "invoice_idx long, fournisseur string, date_facture string, total_ht double, tva_montant double, "
+        "total_ttc double, extraction_method string, n_lines long, numero_facture string",
+    )
+    alerts = spark.createDataFrame(
+        [(0, 20, "b", "warning", "two"), (0, 10, "a", "critical", "one")],
+        "invoice_idx long, seq int, rule string, level string, detail string",
+    )
+    per_invoice = report.alerts_per_invoice(alerts)
+    rows = requests.fraud_requests(facts, per_invoice).collect()
+    assert [r["invoice_idx"] for r in rows] == [0]
+    assert rows[0]["prompt"] == fixed.FRAUD_PROMPT.format(
+        fournisseur="?", date="?", total_ht=None, tva_montant=1.5, total_ttc=100.0, nb_lignes=2,
+        method=None, alerts="- [CRITICAL] a: one\n- [WARNING] b: two",
+    )
+    nothing = facts.select("invoice_idx", F.lit(None).cast("double").alias("pvalue"), F.lit(0.12345).alias("decision"))
+    answers = spark.createDataFrame([(0, "DECISION: BLOCK"), (1, "DECISION: APPROVE")], "invoice_idx long, raw string")
+    reports = report.build_reports(
+        facts, alerts, nothing.drop("decision"), nothing.drop("pvalue"), answers
+    ).orderBy("invoice_idx").collect()
+    assert [(r["invoice_id"], r["overall_level"], r["llm_decision"]) for r in reports] == [
+        ("unknown", "critical", "DECISION: BLOCK"),
+        ("7", "ok", None),
+    ]
+    assert reports[0]["isolation_forest_score"] == round(0.12345, 4)
