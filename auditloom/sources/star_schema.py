@@ -85,7 +85,8 @@ def invoice_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rendered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image_path and full_text: each order printed the way OCR would read it.
 
-    The date format depends on the status; one in three has no date at all.
+    The date format depends on the status; one in three has no date at all. The join
+    keeps the orders spread over the tasks, as the work on the texts is heavy.
     """
     lines = invoice_lines(spark, sf_dir).withColumn(
         "printed",
@@ -116,7 +117,7 @@ def rendered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
-        .join(body, "invoice_idx", "left")
+        .join(body.hint("merge"), "invoice_idx", "left")
         .select(image_path(F.col("invoice_idx")).alias("image_path"), text.alias("full_text"))
     )
 
@@ -146,7 +147,7 @@ def rendered_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     headers = (
         invoice_headers(spark, sf_dir)
-        .join(lists, "invoice_idx", "left")
+        .join(lists.hint("merge"), "invoice_idx", "left")
         .withColumn("kind", F.col("invoice_idx") % 12)
     )
 
