@@ -56,9 +56,12 @@ def line_statistics(lines: DataFrame) -> DataFrame:
 
 
 def facts_from_lines(headers: DataFrame, statistics: DataFrame) -> DataFrame:
-    """Facts of a header table and the line statistics belonging to it."""
+    """Facts of a header table and the line statistics belonging to it.
+
+    The facts come out spread by invoice number, for the rules that follow.
+    """
     joined = headers.select(*HEADER_COLUMNS, first_digit(F.col("total_ttc")).alias("digit")).join(
-        statistics, "invoice_idx", "left"
+        statistics.hint("merge"), "invoice_idx", "left"
     )
 
     return joined.selectExpr(

@@ -307,7 +307,7 @@ def _audit(spark: SparkSession, sf_dir: str):
     texts = star.document_texts(spark, sf_dir)
     with_text = facts.filter(~F.startswith("extraction_method", F.lit("vlm"))).select("invoice_idx")
     digests = duplicates.text_digests(texts).join(with_text, "invoice_idx")
-    running = benford.benford_running(facts, PARAMS)
+    running = materialise(benford.benford_running(facts, PARAMS))
     alerts = audit.rule_alerts(facts, digests, running, None, None, PARAMS)
     decisions = forest.forest_decisions(facts, None)
     return facts, alerts, report.build_reports(facts, alerts, running, decisions)

@@ -59,7 +59,7 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
         orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
         .withColumnRenamed("o_orderkey", "invoice_idx")
-        .join(_net_and_tax(spark, sf_dir), "invoice_idx", "left")
+        .join(_net_and_tax(spark, sf_dir).hint("merge"), "invoice_idx", "left")
     )
     known = F.col("o_orderstatus") != "P"
     computed = F.when(F.col("o_orderstatus") == "F", F.round(F.col("net") + F.col("tax"), 2))

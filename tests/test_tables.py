@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from auditloom.operators import summary
 from auditloom.operators.running import dense_index, running_totals
-from auditloom.operators.skew import hot_keys, skewed_lookup
+from auditloom.operators.skew import hot_keys, key_counts, skewed_lookup
 from auditloom.params import AuditParams
 from auditloom.plans import audit
 from auditloom.schema import IMAGES, OCR_BLOCKS, RESPONSES
@@ -41,7 +41,7 @@ def test_dense_index(spark, partitions):
 def test_hot_keys_and_lookup(spark):
     rows = spark.createDataFrame([("a" if i % 3 else f"k{i}", i) for i in range(90)], "k string, i long")
     params = AuditParams(hot_min_rows=5, hot_share=0.1)
-    assert [r["k"] for r in hot_keys(rows, "k", params).collect()] == ["a"]
+    assert [r["k"] for r in hot_keys(key_counts(rows, "k"), "k", params).collect()] == ["a"]
     lookup = rows.select("k").distinct().filter("k <> 'k0'").withColumn("v", F.upper("k"))
     for p in (params, AuditParams()):
         got = sorted(map(tuple, skewed_lookup(rows, lookup, "k", p).select("k", "i", "v").collect()))
