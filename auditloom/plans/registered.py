@@ -68,13 +68,13 @@ def ttc_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.check_hash_duplicates(
-        duplicates.text_digests(star.document_texts(spark, sf_dir))
-    )
+    digests = materialise(duplicates.text_digests(star.document_texts(spark, sf_dir)))
+    return duplicates.check_hash_duplicates(digests)
 
 
 def zscore_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = zscore.check_zscore(star.invoice_facts(spark, sf_dir), PARAMS)
+    facts = materialise(star.invoice_headers(spark, sf_dir))
+    found = zscore.check_zscore(facts, PARAMS)
     return _round(found, mu=4, sigma=4, z=6)
 
 
@@ -114,12 +114,13 @@ def benford_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benford_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tested = benford.benford_running(star.invoice_facts(spark, sf_dir), PARAMS)
+    tested = benford.benford_running(materialise(star.invoice_facts(spark, sf_dir)), PARAMS)
     return _round(tested, chi2=4, pvalue=6)
 
 
 def benford_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    running = benford.benford_running(star.invoice_facts(spark, sf_dir), PARAMS)
+    facts = materialise(star.invoice_facts(spark, sf_dir))
+    running = materialise(benford.benford_running(facts, PARAMS))
     return benford.check_benford(running, PARAMS).select("invoice_idx", "chi2", "pvalue")
 
 
@@ -306,7 +307,7 @@ def _audit(spark: SparkSession, sf_dir: str):
     facts = materialise(star.invoice_facts(spark, sf_dir))
     texts = star.document_texts(spark, sf_dir)
     with_text = facts.filter(~F.startswith("extraction_method", F.lit("vlm"))).select("invoice_idx")
-    digests = duplicates.text_digests(texts).join(with_text, "invoice_idx")
+    digests = materialise(duplicates.text_digests(texts).join(with_text, "invoice_idx"))
     running = materialise(benford.benford_running(facts, PARAMS))
     alerts = audit.rule_alerts(facts, digests, running, None, None, PARAMS)
     decisions = forest.forest_decisions(facts, None)

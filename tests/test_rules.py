@@ -79,7 +79,7 @@ def spark_audit(spark, rows, params, partitions=3):
         (1, PARAMS, 1),
         (2, PARAMS, 8),
         # tiny buckets and every supplier hot: the split paths have to agree
-        (3, replace(PARAMS, bucket_rows=7, bucket_fan_out=3, hot_min_rows=3, hot_share=0.01), 5),
+        (3, replace(PARAMS, bucket_rows=7, bucket_fan_out=3, history_bucket_rows=9, hot_min_rows=3, hot_share=0.01), 5),
     ],
 )
 def test_audit_agrees_with_the_model(spark, seed, params, partitions):
@@ -147,7 +147,7 @@ def test_one_supplier_holds_a_third(spark):
         return [(r["n_history"], r["mu"], r["sigma"]) for r in got]
 
     plain = history(PARAMS)
-    split = history(replace(PARAMS, bucket_rows=50, hot_min_rows=100, hot_share=0.2))
+    split = history(replace(PARAMS, history_bucket_rows=50, hot_min_rows=100, hot_share=0.2))
     for (n, mu, sigma), (n2, mu2, sigma2) in zip(plain, split, strict=True):
         assert n == n2
         if n:
