@@ -8,8 +8,8 @@ amounts of a report are rounded on the exact value, half to even.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# beyond this the product with the power of ten has no fraction left
-_LARGEST = 2.0**51
+# up to here the whole part of the product is exact
+_LARGEST = 2.0**53
 # splits a double into two halves whose products are exact
 _SPLIT = 2.0**27 + 1
 

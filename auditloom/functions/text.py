@@ -65,29 +65,45 @@ def fill_template(template: str, values: dict[str, Column] | None = None) -> Col
     return F.concat(*parts)
 
 
+def _shortest(col: Column) -> Column:
+    """Decimal text of a double; a long one is replaced by 15 or 16 digits if they say the same.
+
+    The JVM may print a digit more than needed to tell a double from its neighbours.
+    """
+    printed = col.cast("string")
+
+    def shorter(digits: int) -> Column:
+        text = F.format_string(f"%.{digits - 1}e", col)
+        return F.when(text.try_cast("double") == col, text)
+
+    is_long = F.length(printed) > 16
+    return F.when(is_long, F.coalesce(shorter(15), shorter(16), printed)).otherwise(printed)
+
+
 def float_text(col: Column) -> Column:
     """Text of a double as the reports print it: 100.0, 12345678.9, 1e-05, 1e+16."""
-    spark_text = col.cast("string")
+    text = _shortest(col)
     size = F.abs(col)
 
     def plain(decimals: int) -> Column:
-        digits = F.rtrim(col.cast("string").cast(f"decimal(38,{decimals})").cast("string"), F.lit("0"))
+        digits = F.rtrim(text.cast(f"decimal(38,{decimals})").cast("string"), F.lit("0"))
         return F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
 
-    mantissa = F.regexp_replace(F.regexp_extract(spark_text, r"^(.*)E", 1), r"\.0$", "")
-    exponent = F.regexp_extract(spark_text, r"E-?(\d+)$", 1)
+    mantissa = F.regexp_replace(F.regexp_extract(text, r"^(.*)[eE]", 1), r"\.?0+$", "")
+    exponent = F.regexp_extract(text, r"[eE][+-]?(\d+)$", 1)
     scientific = F.concat(
         mantissa,
-        F.when(spark_text.contains("E-"), F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(size < 1, F.lit("e-")).otherwise(F.lit("e+")),
         F.when(F.length(exponent) < 2, F.concat(F.lit("0"), exponent)).otherwise(exponent),
     )
+    with_exponent = text.rlike("[eE]")
     return (
         F.when(col.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(col), F.lit("nan"))
         .when(col == float("inf"), F.lit("inf"))
         .when(col == float("-inf"), F.lit("-inf"))
-        .when((col == 0) | ((size >= 1e-3) & (size < 1e7)), spark_text)
         .when((size >= 1e7) & (size < 1e16), plain(12))
-        .when((size >= 1e-4) & (size < 1e-3), plain(24))
-        .otherwise(scientific)
+        .when((size >= 1e-4) & (size < 1e7) & with_exponent, plain(24))
+        .when((size > 0) & ((size < 1e-4) | (size >= 1e16)), scientific)
+        .otherwise(text)
     )

