@@ -1,30 +1,47 @@
-"""Cutting lineage in storage that outlives an executor."""
+"""Intermediate tables, written to storage that outlives an executor."""
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# folders this process made for local sessions that name none
+_own_folders: dict[str, str] = {}
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with the machine.
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables of this application.
+
+    It lies in the folder the cluster names in spark.checkpoint.dir and is deleted
+    when the driver ends. Only a single-JVM session without that setting gets a folder
+    of its own; on a cluster a machine-local folder could not be read by the others.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return
-    if context.getCheckpointDir() is not None:
-        return
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="auditloom-checkpoint-"))
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        if context.applicationId not in _own_folders:
+            folder = tempfile.mkdtemp(prefix="auditloom-work-")
+            _own_folders[context.applicationId] = folder
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = "file://" + _own_folders[context.applicationId]
+    folder = f"{base.rstrip('/')}/auditloom-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and read it from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet and read it from there, columns and filters pruned."""
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
