@@ -4,13 +4,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import secrets, simhash
+from auditloom.llm import packing, secrets, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the word sequences that start more than once."""
+    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and those that the Markov models add."""
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
@@ -22,7 +32,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_secret_scan, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_packing, op5_substring_dedup, op7_secret_scan, op10_simhash_near_dedup)
 }
 
 # for queries that SQL can express
