@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import packing, secrets, simhash, substring
+from auditloom.llm import decontaminate, language, packing, secrets, simhash, substring, toxicity
+from auditloom.llm.folds import fold, held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,23 +17,54 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item that it holds."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the word sequences that start more than once."""
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(fold(4) != 2))
+    # the fold needs doc_id only, so it is taken from the result
+    found = language.predict(docs, model)
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score", "ambiguous")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and those that the Markov models add."""
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four of five folds."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").filter(fold(5) != 0)
+    found = toxicity.score(docs, toxicity.train(docs, labels))
+    return found.select("doc_id", held_out(5, 0), "score", "predicted")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op5_substring_dedup, op7_secret_scan, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op2_packing,
+        op3_decontamination,
+        op5_substring_dedup,
+        op6_language_id,
+        op7_secret_scan,
+        op8_toxicity,
+        op10_simhash_near_dedup,
+    )
 }
 
 # for queries that SQL can express
