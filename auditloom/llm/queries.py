@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auditloom.llm import decontaminate, language, packing, secrets, simhash, substring, toxicity
+from auditloom.llm import decontaminate, language, licenses, neighbours, packing, secrets, simhash, substring, toxicity
 from auditloom.llm.folds import fold, held_out
 
 
@@ -12,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and licence notice that it holds."""
+    return licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -22,6 +28,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose vec_id is divisible by 20."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the word sequences that start more than once."""
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
@@ -57,8 +68,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_packing,
         op3_decontamination,
+        op4_nearest_neighbours,
         op5_substring_dedup,
         op6_language_id,
         op7_secret_scan,
@@ -68,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # for queries that SQL can express
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": licenses.sql()}
