@@ -9,8 +9,9 @@ similarity of at least c / (3 - c) with it, and ``bands`` is chosen so that such
 retrieved with a probability of at least ``COLLISION``. What is retrieved is verified by
 the exact share of the template's shingles in the window.
 
-A match needs a shingle of a template, hence the longest word of one: texts without any
-such word are passed over before they are cut into words.
+A match may lack only a few of a template's shingles. So of any group of more than that
+many it needs one, hence the longest word of one; texts that fail this for every template
+cannot match and are passed over before they are cut into words.
 """
 
 import math
@@ -60,6 +61,15 @@ def _least(shingles: Column, p: int) -> Column:
     return F.array_min(_hashed(shingles, p))
 
 
+def _possible(low: Column, own: list[str], containment: float) -> Column:
+    """Whether a text has a word of each group of shingles of which a match needs one."""
+    group = len(own) - math.ceil(containment * len(own) - 1e-9) + 1
+    groups = [own[i : i + group] for i in range(0, len(own) - group + 1, group)]
+    words = [sorted({max(s.split(), key=len) for s in g}) for g in groups]
+    any_of = lambda some: reduce(Column.__or__, [F.contains(low, F.lit(w)) for w in some])
+    return reduce(Column.__and__, [any_of(w) for w in words])
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is evaluated once per row, however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -108,9 +118,8 @@ def find_licenses(
     hashes = bands(containment)
     shingles = {k: s for k, v in sorted(templates.items()) if (s := template_shingles(v))}
     signatures = _signatures(docs.sparkSession, shingles, hashes)
-    anchors = sorted({max(s.split(), key=len) for own in shingles.values() for s in own})
     low = F.lower("text")
-    hinted = docs.filter(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in anchors]))
+    hinted = docs.filter(reduce(Column.__or__, [_possible(low, own, containment) for own in shingles.values()]))
     words = F.filter(F.split(low, _SEPARATORS), lambda w: w != "")
     n = SHINGLE_WORDS
     cut = F.transform(
