@@ -285,3 +285,13 @@ def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: f
     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
     names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "start"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no test item.
+
+    The ids found are written first; rows meet them by doc_id. A row without doc_id cannot
+    be named by a finding and stays only if no row without doc_id holds an item.
+    """
+    found = materialise(find_leaks(docs, benchmark).select("doc_id").distinct())
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")

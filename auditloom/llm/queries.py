@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import decontaminate, language, licenses, neighbours, packing, secrets, simhash, substring, toxicity
+from auditloom.llm import decontaminate, language, licenses, neighbours, packing, quality, secrets, simhash, substring, toxicity
 from auditloom.llm.folds import fold, held_out
 
 
@@ -60,6 +60,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of four of five folds."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    labels = _table(spark, sf_dir, "labels").filter(fold(5) != 0)
+    return quality.score(docs, quality.train(docs, labels, pages), pages)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language_id,
         op7_secret_scan,
         op8_toxicity,
+        op9_quality,
         op10_simhash_near_dedup,
     )
 }

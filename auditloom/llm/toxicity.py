@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.session import materialise
+from auditloom.llm.folds import labelled_sample
 
 LOG_TERMS = 17
 FACTORS = 6
@@ -104,44 +104,24 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, row_weights: np.ndarray) ->
     return Model(bias, weights, factors, value)
 
 
-def _sample(labels: DataFrame, sample_docs: int) -> DataFrame:
-    """At most ``sample_docs`` rows of each label with their weight; all else is counted."""
-    clean = labels.filter("doc_id is not null and toxic in (0, 1)").select(
-        "doc_id", F.col("toxic").cast("int").alias("toxic")
-    )
-    # a row per label
-    sizes = materialise(clean.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_003)) / 1_000_003
-    drawn = (
-        clean.join(F.broadcast(sizes), "toxic")
-        .withColumn("draw", draw)
-        .filter(F.col("draw") < 1.2 * sample_docs / F.col("n"))
-    )
-    parts = [
-        drawn.filter(F.col("toxic") == label).orderBy("draw", "doc_id").limit(sample_docs) for label in (0, 1)
-    ]
-    taken = materialise(parts[0].unionByName(parts[1]))
-    counts = taken.groupBy("toxic").agg(F.count(F.lit(1)).alias("taken"))
-    return taken.join(F.broadcast(counts), "toxic").selectExpr("doc_id", "toxic", "n / taken as weight")
-
-
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learn from the texts of ``docs`` whose doc_id ``labels`` marks with toxic 0 or 1."""
-    sample = F.broadcast(_sample(labels, sample_docs))  # at most 2 x sample_docs narrow rows
+    # at most 2 x sample_docs narrow rows
+    sample = F.broadcast(labelled_sample(labels, "toxic", sample_docs))
 
     def extract(batches):
         for batch in batches:
             found = [terms(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), batch.column("weight"), pa.array(found, pa.list_(pa.int32()))],
-                ["toxic", "weight", "terms"],
+                [batch.column("label"), batch.column("weight"), pa.array(found, pa.list_(pa.int32()))],
+                ["label", "weight", "terms"],
             )
 
     def learn(batches):
         rows, labels, weights = [], [], []
         for batch in batches:
             rows += [np.asarray(t, dtype=np.int32) for t in batch.column("terms").to_pylist()]
-            labels += batch.column("toxic").to_pylist()
+            labels += batch.column("label").to_pylist()
             weights += batch.column("weight").to_pylist()
         order = sorted(range(len(rows)), key=lambda i: (labels[i], rows[i].tobytes()))
         weights = np.array([weights[i] for i in order])
@@ -156,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         )
 
     labelled = docs.select("doc_id", "text").join(sample, "doc_id")
-    extracted = labelled.mapInArrow(extract, "toxic int, weight double, terms array<int>")
+    extracted = labelled.mapInArrow(extract, "label int, weight double, terms array<int>")
     # one task learns from the bounded sample
     learned = extracted.repartition(1).mapInArrow(learn, "part int, data binary").collect()
     bias, weights, factors, value = (np.frombuffer(r.data, "<f8") for r in sorted(learned))

@@ -1,31 +1,54 @@
 """From raw documents to packed training sequences, in five stages.
 
-Each stage is called with all documents that the stage before has kept.
+Each stage is called with all documents that the stage before has kept, and returns the
+columns of documents; the last returns the pieces of the packed sequences.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import secrets, simhash
+from auditloom.llm import decontaminate, language, packing, secrets, simhash
 from auditloom.session import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or too close to two languages to tell, go."""
+    return language.accepted(docs.select(*COLUMNS), language.train(docs))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id."""
     return simhash.first_of_group(docs).select(*COLUMNS)
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.without_leaks(docs, benchmark).select(*COLUMNS)
+
+
+def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is replaced in the text; no document goes."""
     clean = secrets.redact(secrets.find_secrets(docs))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-STAGES = [("SimHash near-dedup", near_dedup), ("secret scans", secret_scan)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("secret scans", scan_secrets),
+    ("packing", pack),
+]
 
-# tokenizers, learned models and connected components have no SQL form
+# learned models, components and tokenizers have no SQL form
 ORACLE_SQL = None
 
 
