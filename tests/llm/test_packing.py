@@ -1,0 +1,103 @@
+"""Token ids against the tokenizer itself, and what every packing must hold."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from auditloom.llm import packing
+from tests.llm import cases
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.Encoder()
+
+
+def test_ids_are_those_of_the_tokenizer(tokenizer, encoder):
+    frames = ["{0}", "a {0}b", "a b{0} c", "hello. w{0}. {0}, {0}x! ", " {0} a", "ab  c{0}", "x'{0}s \n{0}", "12{0}34 {0}{0}"]
+    texts = [f.format(chr(c)) for c in range(0x260) for f in frames]
+    texts += ["", "a <|endoftext|> b", "x<|endoftext|>", "漢字 kana ", " wide", "don't we'll I'm", None]
+    texts += [t for t in (r[1] for r in cases.messy_rows())]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts, pa.string()))] == want
+
+
+def check(rows, texts, tokenizer, limit=2048, segments=128, padding=0.02):
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for doc_id, text in texts:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        at = 0
+        for r in sorted(by_doc[doc_id], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.length > 0 and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    assert len(by_doc) == len(texts)
+    wasted = total = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= limit and len(pieces) <= segments
+        total += at
+        wasted += 0 if at & (at - 1) == 0 else limit - at
+    assert wasted <= padding * total
+
+
+def test_whole_table(spark, sf_dir, tokenizer):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    check(packing.pack(docs).collect(), texts, tokenizer)
+    check(packing.pack(docs.repartition(7)).collect(), texts, tokenizer)
+
+
+def test_messy_rows(spark, tokenizer):
+    rows = packing.pack(cases.messy(spark)).collect()
+    given = cases.messy_rows()
+    whole = sum(len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in given)
+    assert sum(r.length for r in rows) == whole
+    assert packing.pack(cases.empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("cut", [True, False])
+def test_simultaneous_limits(cut):
+    draw = random.Random(5)
+    limits = packing.Limits(tokens=100, segments=4, loss_tokens=60)
+    packer = packing.Packer(limits, cut, 0)
+    for i in range(300):
+        n, prompt = draw.randint(1, 150 if cut else 60), draw.randint(0, 40)
+        ids = np.arange(n, dtype="<u4")
+        packer.add(packing._Example(i, ids, np.maximum(np.arange(n + 1) - min(prompt, n), 0)))
+        if len(packer.pool) >= 40:
+            packer.fill(20)
+    packer.finish()
+    placed, used = defaultdict(int), defaultdict(lambda: [0, 0, 0])
+    for doc_id, start, length, _, doc_tokens, sequence, offset, loss in packer.rows:
+        assert cut or length == doc_tokens
+        placed[doc_id] += length
+        assert used[sequence][0] == offset
+        used[sequence] = [a + b for a, b in zip(used[sequence], (length, 1, loss))]
+    assert all(t <= 100 and s <= 4 and x <= 60 for t, s, x in used.values())
+    assert len(placed) == 300
+
+
+def test_prompts_bear_no_loss(spark):
+    rows = [(1, "an answer", "a question?"), (2, "another", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, prompt string")
+    for r in packing.pack(docs, cut=False, prompt="prompt").collect():
+        assert r.loss_tokens == (r.doc_tokens - 3 if r.doc_id == 1 else r.doc_tokens)
