@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.session import materialise
+
 LOG_FEATURES = 14
 FEATURES = 1 << LOG_FEATURES
 ORDERS = 3
@@ -107,7 +109,8 @@ class Model:
 def training_rows(docs: DataFrame, sample_docs: int) -> DataFrame:
     """``text`` and ``lang`` of the sampled training texts."""
     rows = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # written, so that Spark knows how small it is and leaves the texts where they are
+    sizes = materialise(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_003)) / 1_000_003
     return rows.join(sizes, "lang").filter(draw < sample_docs / F.col("n")).select("text", "lang")
 
