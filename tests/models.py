@@ -1,10 +1,13 @@
-"""Plain-Python models of the rules, one invoice after the other, for small tables."""
+"""Plain models of the rules for small tables, one rule after the other."""
 
 import hashlib
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+
+from auditloom import fixed_values as fixed
 
 
 def first_digit(amount):
@@ -27,45 +30,83 @@ def benford(amounts):
     return chi2, math.exp(-h) * sum(h**k / math.factorial(k) for k in range(4))
 
 
+def line_gaps(table):
+    """Invoices whose lines do not add up to the amount before tax, or else the total."""
+    table = table[table.extraction_method != fixed.REGEX_FALLBACK]
+    before_tax = table.total_ht.fillna(0)
+    frame = pd.DataFrame(
+        {
+            "line_sum": [sum(t) for t in table.line_totals],
+            "reference": before_tax.where(before_tax != 0, table.total_ttc),
+            "lines": table.line_totals.map(len),
+        },
+        index=table.index,
+    )
+    frame = frame[(frame.lines > 0) & frame.reference.notna() & (frame.reference != 0)]
+    off = (frame.line_sum - frame.reference).abs() > 0.05 * frame.reference + 0.02
+    return {i: fixed.DETAIL_LINES.format(**row) for i, row in frame[off].iterrows()}
+
+
+def total_gaps(table):
+    full = table[table.extraction_method != fixed.REGEX_FALLBACK].dropna(
+        subset=["total_ht", "tva_montant", "total_ttc"]
+    )
+    expected = (full.total_ht + full.tva_montant).map(lambda x: round(x, 2))
+    off = expected[(expected - full.total_ttc).abs() > 0.05]
+    return {i: fixed.DETAIL_TTC.format(expected_ttc=x, total_ttc=full.total_ttc[i]) for i, x in off.items()}
+
+
+def text_copies(table):
+    texts = table.raw_text.dropna()
+    texts = texts[texts.map(lambda t: bool(t.strip()))]
+    again = texts[texts.groupby(texts).cumcount() > 0]
+    digest = again.map(lambda t: hashlib.sha256(t.encode()).hexdigest()[:12])
+    return {i: fixed.DETAIL_HASH.format(hash=x) for i, x in digest.items()}
+
+
+def unusual_amounts(table):
+    amounts = defaultdict(list)  # per supplier, in order
+    for i, name, amount in zip(table.index, table.fournisseur, table.total_ttc):
+        if name and amount == amount:
+            amounts[name.lower().strip()].append((i, amount))
+    found = {}
+    for own in amounts.values():
+        values = np.array([x for _, x in own])
+        for at in range(5, len(own)):
+            mu, sigma = np.mean(values[:at]), np.std(values[:at])
+            z = (values[at] - mu) / sigma if sigma > 1e-12 * abs(mu) else 0.0
+            if abs(z) > 3:
+                found[own[at][0]] = fixed.DETAIL_ZSCORE.format(z=z, mu=mu, sigma=sigma)
+    return found
+
+
+def digit_values(table):
+    """p of all amounts up to and with each invoice, and the alert texts."""
+    seen, values, found = [], {}, {}
+    for i, total, lines in zip(table.index, table.total_ttc, table.line_totals):
+        seen.extend(x for x in (total, *lines) if x == x and x is not None and x > 0)
+        chi2, values[i] = benford(seen)
+        if values[i] is not None and values[i] < 0.05:
+            rounded = (float(np.round(chi2, 2)), float(np.round(values[i], 6)))
+            found[i] = fixed.DETAIL_BENFORD.format(chi2=rounded[0], pvalue=rounded[1])
+    return values, found
+
+
 def audit(invoices):
-    """Per invoice the list of (rule, detail); no similarity, no forest."""
-    seen, reports, amounts = set(), [], []
-    for i, inv in enumerate(invoices):
-        alerts = []
-        ht, tva, ttc = inv["total_ht"], inv["tva_montant"], inv["total_ttc"]
-        totals = [line["total_ligne"] for line in inv["lignes"]]
-        if inv["extraction_method"] != "regex_fallback":
-            reference = ht if ht else ttc
-            if totals and reference and abs(sum(totals) - reference) > 0.05 * reference + 0.02:
-                alerts.append(
-                    ("arithmetic_lines", f"Somme lignes ({sum(totals):.2f}) vs total ({reference:.2f})")
-                )
-            if None not in (ht, tva, ttc) and abs(round(ht + tva, 2) - ttc) > 0.05:
-                alerts.append(("arithmetic_ttc", f"HT+TVA ({round(ht + tva, 2):.2f}) != TTC ({ttc:.2f})"))
-        text = inv["raw_text"]
-        if text and text.strip():
-            digest = hashlib.sha256(text.encode()).hexdigest()
-            if digest in seen:
-                alerts.append(("hash_duplicate", f"Doublon exact detecte (hash={digest[:12]}...)"))
-            seen.add(digest)
-        supplier = inv["fournisseur"]
-        if supplier and ttc is not None:
-            history = [
-                h["total_ttc"]
-                for h in invoices[:i]
-                if h["fournisseur"]
-                and h["total_ttc"] is not None
-                and h["fournisseur"].lower().strip() == supplier.lower().strip()
-            ]
-            if len(history) >= 5:
-                mu, sigma = np.mean(history), np.std(history)
-                if sigma > 1e-12 * abs(mu) and abs((ttc - mu) / sigma) > 3:
-                    alerts.append(
-                        ("zscore", f"Z-score={(ttc - mu) / sigma:.1f} (moy={mu:.2f}, sigma={sigma:.2f})")
-                    )
-        amounts += [a for a in [ttc, *totals] if a is not None and a > 0]
-        chi2, p = benford(amounts)
-        if p is not None and p < 0.05:
-            alerts.append(("benford", f"chi2={float(np.round(chi2, 2))}, p={float(np.round(p, 6))}"))
-        reports.append((alerts, p))
-    return reports
+    """Per invoice its (rule, detail) pairs in report order and the digit p; no similarity, no forest."""
+    table = pd.DataFrame(invoices)
+    for name in ("total_ht", "tva_montant", "total_ttc"):
+        table[name] = table[name].astype(float)
+    table["line_totals"] = [[line["total_ligne"] for line in lines] for lines in table.lignes]
+    table["fournisseur"] = table.fournisseur.where(table.fournisseur.notna(), None)
+    p_values, digits = digit_values(table)
+    by_rule = {
+        fixed.ARITHMETIC_LINES: line_gaps(table),
+        fixed.ARITHMETIC_TTC: total_gaps(table),
+        fixed.HASH_DUPLICATE: text_copies(table),
+        fixed.ZSCORE: unusual_amounts(table),
+        fixed.BENFORD: digits,
+    }
+    return [
+        ([(rule, found[i]) for rule, found in by_rule.items() if i in found], p_values[i]) for i in table.index
+    ]
