@@ -22,13 +22,13 @@ from pyspark.sql.window import Window
 
 from auditloom.session import materialise
 
-PIVOTS = 256
-PREFIX = 64
+PIVOTS = 512
+PREFIX = 48
 # share and least number of a shard's different vectors that are ranked again
-SHARE = 0.15
+SHARE = 0.2
 LEAST_CANDIDATES = 500
 SHARD_ROWS = 8_192
-QUERY_ROWS = 1_024
+QUERY_ROWS = 4_096
 NEAREST = 20
 
 
@@ -76,32 +76,29 @@ class Shard:
         self.ids = ids
         by_vector = np.argsort(self.of, kind="stable")  # ids of one vector stay in order
         self.members, self.bounds = by_vector, np.searchsorted(self.of[by_vector], np.arange(len(first) + 1))
-        at = places(self.vectors, pivot)
-        self.files = []
-        for p in range(len(pivot)):
-            posted = np.flatnonzero(at[:, p] < self.prefix)
-            self.files.append((posted, at[posted, p].astype(np.int32)))
+        at = np.ascontiguousarray(places(self.vectors, pivot).T)
+        # the file of each pivot: the vectors posted there, and their places
+        self.posted = [np.flatnonzero(own < self.prefix) for own in at]
+        self.at = [at[p, own] for p, own in enumerate(self.posted)]
 
     def footrule(self, place: np.ndarray) -> np.ndarray:
         """Distance of a query's places to those of each vector, less a constant of the query."""
         total = np.zeros(len(self.vectors), dtype=np.int32)
-        for p in np.flatnonzero(place < self.prefix):
-            posted, at = self.files[p]
+        for p in np.flatnonzero(place < self.prefix).tolist():
             # |a - b| instead of (prefix - a) + (prefix - b), what missing it would add
-            total[posted] += np.abs(at - place[p]) - (self.prefix - at) - (self.prefix - place[p])
+            total[self.posted[p]] -= 2 * (self.prefix - np.maximum(self.at[p], place[p]))
         return total
 
     def nearest(self, own_id: int, vector: np.ndarray, place: np.ndarray, k: int, take: int):
         """Ids and scores of the best ``k`` among the ``take`` nearest by footrule."""
         distance = self.footrule(place)
         near = np.argpartition(distance, take - 1)[:take] if take < len(distance) else np.arange(len(distance))
-        # one sum per vector, so that a score does not depend on the others
-        scores = np.array([np.dot(self.vectors[i], vector) for i in near])
-        best = near[np.argsort(-scores, kind="stable")]
-        least = np.sort(scores)[::-1][min(k, len(scores) - 1)]  # one more, as the query may be there
+        # each sum is that of one vector alone, so a score does not depend on the others
+        scores = (self.vectors[near] * vector).sum(axis=1)
+        order = np.argsort(-scores, kind="stable")
+        least = scores[order[min(k, len(order) - 1)]]  # one more, as the query may be there
         ids, found = [], []
-        for i in best:
-            score = float(np.dot(self.vectors[i], vector))
+        for i, score in zip(near[order].tolist(), scores[order].tolist()):
             if score < least:
                 break
             some = self.ids[self.members[self.bounds[i] : self.bounds[i + 1]][: k + 1]]
