@@ -424,12 +424,15 @@ ORACLE_SQL: dict[str, str] = {
       FROM invoices i LEFT JOIN documents ON doc_id = i.invoice_idx""",
     "index_upsert": _INVOICES
     + """, updates AS (
-        SELECT 'inv_' || l_orderkey AS id, 'supplier ' || l_suppkey AS fournisseur, l_extendedprice AS total_ttc
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_suppkey DESC) AS n
+        SELECT 'inv_' || l_orderkey AS id, 'line ' || l_linenumber AS document,
+          'supplier ' || l_suppkey AS fournisseur, l_extendedprice AS total_ttc,
+          strftime(l_shipdate, '%Y-%m-%d') AS date, 'vlm' AS extraction_method, 1::BIGINT AS nb_lignes
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+            ORDER BY l_extendedprice DESC, l_suppkey DESC, l_linenumber DESC) AS n
           FROM lineitem WHERE l_returnflag = 'R') WHERE n = 1)
       SELECT * FROM updates UNION ALL
-      SELECT 'inv_' || invoice_idx, lower(fournisseur), total_ttc FROM invoices
-      WHERE 'inv_' || invoice_idx NOT IN (SELECT id FROM updates)""",
+      SELECT 'inv_' || invoice_idx, '', lower(fournisseur), total_ttc, date_facture, extraction_method, 0
+      FROM invoices WHERE 'inv_' || invoice_idx NOT IN (SELECT id FROM updates)""",
     "audit_report": _RULES + "SELECT * FROM reports",
     "alert_text": _ALERT_TEXT + "SELECT * FROM told",
     "fraud_requests": _ALERT_TEXT
@@ -452,7 +455,9 @@ ORACLE_SQL: dict[str, str] = {
       FROM (VALUES ('ok'), ('warning'), ('critical')) l(overall_level)
       LEFT JOIN reports r ON r.overall_level = l.overall_level GROUP BY l.overall_level""",
     "first_report": _RULES
-    + "SELECT invoice_idx, overall_level, rules FROM reports WHERE n_alerts > 0 ORDER BY invoice_idx LIMIT 1",
+    + """SELECT r.invoice_idx, fournisseur, extraction_method, total_ttc, overall_level, rules
+      FROM reports r JOIN invoices i ON i.invoice_idx = r.invoice_idx
+      WHERE n_alerts > 0 ORDER BY r.invoice_idx LIMIT 1""",
     "method_counts": _INVOICES
     + "SELECT extraction_method, count(*) AS n FROM invoices GROUP BY extraction_method",
     "amount_histogram": _INVOICES

@@ -280,23 +280,26 @@ def index_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, replaced by their dearest returned line where one was returned."""
-    columns = ["id", "fournisseur", "total_ttc"]
     existing = sinks.index_rows(
         star.invoice_headers(spark, sf_dir).withColumns(
             {"raw_text": F.lit(None).cast("string"), "lignes": F.array().cast(star.LINES)}
         )
-    ).select(*columns)
+    )
     lines = star.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     updates = sinks.last_per_id(
         lines.select(
             F.concat(F.lit("inv_"), F.col("l_orderkey").cast("string")).alias("id"),
+            F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("document"),
             F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("fournisseur"),
             F.col("l_extendedprice").alias("total_ttc"),
-            F.struct("l_extendedprice", "l_suppkey").alias("version"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+            F.lit(fixed.VLM).alias("extraction_method"),
+            F.lit(1).alias("nb_lignes"),
+            F.struct("l_extendedprice", "l_suppkey", "l_linenumber").alias("version"),
         ),
         "version",
     )
-    return sinks.upsert_index(existing, updates)
+    return _long(sinks.upsert_index(existing, updates), "nb_lignes")
 
 
 # --- report ----------------------------------------------------------------------------------
@@ -353,10 +356,15 @@ def level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, reports = _audit(spark, sf_dir)
-    first = report.first_report_with_alerts(reports)
+    facts, _, reports = _audit(spark, sf_dir)
+    first = report.first_report_with_alerts(reports, facts)
     return first.select(
-        "invoice_idx", "overall_level", F.array_join(F.transform("anomalies", lambda a: a["rule"]), ",").alias("rules")
+        "invoice_idx",
+        "fournisseur",
+        "extraction_method",
+        "total_ttc",
+        "overall_level",
+        F.array_join(F.transform("anomalies", lambda a: a["rule"]), ",").alias("rules"),
     )
 
 
@@ -371,24 +379,24 @@ def amount_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
-    return _round(forest.forest_decisions(facts, forest.fit_forest(facts, PARAMS)), decision=4)
+    return _round(forest.fit_decisions(facts, PARAMS), decision=4)
 
 
 def forest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
-    decisions = forest.forest_decisions(facts, forest.fit_forest(facts, PARAMS))
+    decisions = forest.fit_decisions(facts, PARAMS)
     return forest.check_forest(decisions, PARAMS)
 
 
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
-    decisions = materialise(forest.forest_decisions(facts, forest.fit_forest(facts, PARAMS)))
+    decisions = forest.fit_decisions(facts, PARAMS)
     return summary.score_histogram(decisions, PARAMS)
 
 
 def full_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rule, forest and neighbours included, over nested invoices."""
-    result = audit.audit_invoices(materialise(star.nested_invoices(spark, sf_dir)), params=PARAMS)
+    result = audit.audit_invoices(star.nested_invoices(spark, sf_dir), params=PARAMS)
     return result.reports.withColumn("anomalies", requests.alert_text(F.col("anomalies")))
 
 
