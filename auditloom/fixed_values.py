@@ -53,6 +53,7 @@ CODE_FENCE = "```"
 DECISION_MARK = "DECISION:"
 RETRY_SCHEMA_ERROR = "Structure JSON non conforme au schema attendu"
 RETRY_OCR_ERROR = "JSON invalide"
+RETRY_PARSE_ERROR = "JSON invalide"
 RETRY_OCR_TEXT = "\nTexte original:\n"
 
 # --- Fixed values: prompt texts sent to the models -----------------------------------

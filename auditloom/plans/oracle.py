@@ -404,6 +404,20 @@ ORACLE_SQL: dict[str, str] = {
     + f"""SELECT image_path, 'vlm' AS tier, CAST(1 AS BIGINT) AS attempt, {_quoted(fixed.EXTRACTION_PROMPT)} AS prompt FROM texts
       UNION ALL SELECT image_path, 'ocr_llm', 1, {_filled(fixed.OCR_PROMPT, ocr_text='full_text')} FROM texts
       WHERE regexp_matches(full_text, '\\S')""",
+    "retry_requests": _TEXTS
+    + _ANSWERS.replace("WITH per_order", ", per_order", 1)
+    + f""", rejected AS (
+        SELECT p.invoice_idx, p.method, {_IMAGE.format('p.invoice_idx')} AS image_path,
+          CASE WHEN json_valid(a.answer) THEN {_quoted(fixed.RETRY_SCHEMA_ERROR)}
+            ELSE {_quoted(fixed.RETRY_PARSE_ERROR)} END AS error
+        FROM parsed p JOIN answers a ON a.invoice_idx = p.invoice_idx AND a.method = p.method
+        WHERE a.answer IS NOT NULL AND NOT p.valid)
+      SELECT image_path, 'vlm' AS tier, 2::BIGINT AS attempt, {_filled(fixed.RETRY_PROMPT, error='error')} AS prompt
+      FROM rejected WHERE method = 'vlm'
+      UNION ALL SELECT r.image_path, 'ocr_llm', 2,
+        {_filled(fixed.RETRY_PROMPT, error=_quoted(fixed.RETRY_OCR_ERROR))} || {_quoted(fixed.RETRY_OCR_TEXT)} || full_text
+      FROM rejected r JOIN texts t ON t.image_path = r.image_path
+      WHERE method = 'ocr_llm' AND regexp_matches(full_text, '\\S')""",
     "decision_parse": """
       WITH raws AS (
         SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN text || chr(10) || '  Decision: REVIEW - RAISON: ' || role || ' ' || chr(10) || 'end'
