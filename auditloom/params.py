@@ -45,7 +45,7 @@ class AuditParams:
     # --- how the work is split (changes speed, never the result) -----------------
     # rows of consecutive invoices that one running-total task handles
     bucket_rows: int = 10_000
-    # range of invoice numbers in one bucket of a hot supplier's history
+    # range of invoice numbers in one bucket of a supplier's history
     history_bucket_rows: int = 100_000
     # bucket totals that one task of the next level handles
     bucket_fan_out: int = 1_000
