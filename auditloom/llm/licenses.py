@@ -149,8 +149,10 @@ def find_licenses(
         .filter(F.size("words") >= n)
         .select("doc_id", cut.alias("s"))
     )
+    # few bytes but much work each: one shuffle spreads them over all tasks
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = F.array(*[_hashed(F.col("s"), p) for p in range(hashes)])
-    found = texts.select("doc_id", F.explode(_let(hashed, matches)).alias("m")).filter("m.best is not null")
+    found = texts.repartition(tasks).select("doc_id", F.explode(_let(hashed, matches)).alias("m")).filter("m.best is not null")
     return found.select(
         "doc_id",
         "m.license",
