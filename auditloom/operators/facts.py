@@ -5,7 +5,7 @@ line array (row-local, no shuffle) or from a header table and a long line table
 (partial aggregation, so that an invoice with very many lines is no problem).
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.functions.amounts import DIGIT_COLUMNS, DIGITS, first_digit
@@ -44,14 +44,18 @@ def facts_from_invoices(invoices: DataFrame) -> DataFrame:
     )
 
 
-def line_statistics(lines: DataFrame) -> DataFrame:
-    """Per invoice: number of lines, their sum, and first-digit counts of positive ones."""
-    rows = lines.select("invoice_idx", "total_ligne", first_digit(F.col("total_ligne")).alias("digit"))
+def line_statistics(lines: DataFrame, *more: Column) -> DataFrame:
+    """Per invoice: number of lines, their sum, and first-digit counts of positive ones.
+
+    ``more`` are further aggregates of the lines, taken in the same pass.
+    """
+    rows = lines.withColumn("digit", first_digit(F.col("total_ligne")))
     return rows.groupBy("invoice_idx").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("total_ligne").alias("line_sum"),
         F.count_if(F.col("total_ligne") > 0).alias("n_amounts"),
         *[F.expr(f"count_if(digit = {d}) as d{d}") for d in DIGITS],
+        *more,
     )
 
 
@@ -60,11 +64,14 @@ def facts_from_lines(headers: DataFrame, statistics: DataFrame) -> DataFrame:
 
     The facts come out spread by invoice number, for the rules that follow.
     """
-    joined = headers.select(*HEADER_COLUMNS, first_digit(F.col("total_ttc")).alias("digit")).join(
-        statistics.hint("merge"), "invoice_idx", "left"
+    return facts_of_joined(
+        headers.select(*HEADER_COLUMNS).join(statistics.hint("merge"), "invoice_idx", "left")
     )
 
-    return joined.selectExpr(
+
+def facts_of_joined(rows: DataFrame) -> DataFrame:
+    """Facts of rows that hold the header columns and the line statistics, null without lines."""
+    return rows.withColumn("digit", first_digit(F.col("total_ttc"))).selectExpr(
         *HEADER_COLUMNS,
         "coalesce(n_lines, 0) as n_lines",
         "coalesce(line_sum, 0d) as line_sum",

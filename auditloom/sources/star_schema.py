@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditloom import fixed_values as fixed
-from auditloom.operators.facts import facts_from_lines, line_statistics
+from auditloom.operators.facts import AMOUNT_COUNTS, HEADER_COLUMNS, facts_of_joined, line_statistics
 from auditloom.schema import LINES, enter_invoices
 
 
@@ -30,13 +30,17 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _net_and_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Net total and tax per order, summed as decimals and rounded to cents."""
-    lines = table(spark, sf_dir, "lineitem")
-    net = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        1 - F.col("l_discount").cast("decimal(4,2)")
+def _line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order the line statistics, and net total and tax as decimals rounded to cents."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("invoice_idx"),
+        F.col("l_extendedprice").alias("total_ligne"),
+        "l_discount",
+        "l_tax",
     )
-    return lines.groupBy(F.col("l_orderkey").alias("invoice_idx")).agg(
+    net = F.col("total_ligne").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    return line_statistics(
+        lines,
         F.round(F.sum(net), 2).cast("double").alias("net"),
         F.round(F.sum(net * F.col("l_tax").cast("decimal(4,2)")), 2).cast("double").alias("tax"),
     )
@@ -48,18 +52,14 @@ def extraction_method(priority: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in fixed.EXTRACTION_METHODS]), rank)
 
 
-def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoice columns without lines and text.
-
-    Status F: total computed from net and tax. Status O: total as ordered, so net
-    and tax rarely give it. Status P: net and tax unknown.
-    """
+def _headers_and_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``invoice_headers`` and the line statistics, from one pass over the lines."""
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     joined = (
         orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
         .withColumnRenamed("o_orderkey", "invoice_idx")
-        .join(_net_and_tax(spark, sf_dir).hint("merge"), "invoice_idx", "left")
+        .join(_line_sums(spark, sf_dir).hint("merge"), "invoice_idx", "left")
     )
     known = F.col("o_orderstatus") != "P"
     computed = F.when(F.col("o_orderstatus") == "F", F.round(F.col("net") + F.col("tax"), 2))
@@ -72,14 +72,24 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(known, F.col("tax")).alias("tva_montant"),
         F.coalesce(computed, F.col("o_totalprice")).alias("total_ttc"),
         extraction_method(F.col("o_orderpriority")).alias("extraction_method"),
+        "n_lines",
+        "line_sum",
+        *AMOUNT_COUNTS,
     )
 
 
+def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice columns without lines and text.
+
+    Status F: total computed from net and tax. Status O: total as ordered, so net
+    and tax rarely give it. Status P: net and tax unknown.
+    """
+    return _headers_and_sums(spark, sf_dir).select(*HEADER_COLUMNS)
+
+
 def invoice_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of all orders, straight from the long line table."""
-    return facts_from_lines(
-        invoice_headers(spark, sf_dir), line_statistics(invoice_lines(spark, sf_dir))
-    )
+    return facts_of_joined(_headers_and_sums(spark, sf_dir))
 
 
 def rendered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
