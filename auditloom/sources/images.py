@@ -19,11 +19,22 @@ def find_invoice_images(spark: SparkSession, base_path: str) -> DataFrame:
     )
 
 
+def with_sharpness(images: DataFrame, sharpness: DataFrame) -> DataFrame:
+    """Listed images with the measured ``sharpness`` of their path.
+
+    An image without a measurement could not be read: its sharpness is null, and the gate
+    drops it. ``sharpness`` has one row per path.
+    """
+    return images.join(sharpness.select("path", "sharpness"), "path", "left")
+
+
 def cap_images(images: DataFrame, params: AuditParams = AuditParams()) -> DataFrame:
     """The first ``image_cap`` paths in sorted order; all of them without a cap."""
     if params.image_cap is None:
         return images
-    return images.orderBy("path").limit(params.image_cap)
+    # numbered across the tasks, so that no task has to hold as many rows as the cap
+    placed = dense_index(images, "path", "_place")
+    return placed.filter(F.col("_place") < params.image_cap).drop("_place")
 
 
 def kept_images(images: DataFrame, params: AuditParams = AuditParams()) -> DataFrame:

@@ -68,6 +68,25 @@ def test_gate_cap_and_numbering(spark):
     assert [r["image_path"] for r in capped] == ["b.png", "d.png"]
 
 
+def test_listing_meets_its_sharpness(spark):
+    listed = spark.createDataFrame([("a.png", 1), ("b.png", 2), ("c.png", 3)], "path string, length long")
+    measured = spark.createDataFrame([("a.png", 60.0), ("c.png", 10.0), ("z.png", 99.0)], "path string, sharpness double")
+    met = images.with_sharpness(listed, measured)
+    assert {(r["path"], r["sharpness"]) for r in met.collect()} == {("a.png", 60.0), ("b.png", None), ("c.png", 10.0)}
+    assert [r["image_path"] for r in images.kept_images(met).collect()] == ["a.png"]
+
+
+def test_written_inputs_are_read_back(spark, tmp_path):
+    blocks = [("a.png", 0, "first", 0.5), ("a.png", 1, None, None)]
+    answers = [("a.png", "vlm", 1, "{}"), ("a.png", "ocr_llm", 2, None)]
+    spark.createDataFrame(blocks, OCR_BLOCKS).write.parquet(str(tmp_path / "blocks"))
+    spark.createDataFrame(answers, RESPONSES).write.parquet(str(tmp_path / "answers"))
+    read = tables.read_ocr_blocks(spark, str(tmp_path / "blocks"))
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(blocks, key=str) and read.schema == OCR_BLOCKS
+    read = tables.read_responses(spark, str(tmp_path / "answers"))
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(answers, key=str) and read.schema == RESPONSES
+
+
 def test_index_and_reports_on_disk(spark, tmp_path):
     rows = [
         invoice(fournisseur=None, raw_text=None, extraction_method="vlm"),
