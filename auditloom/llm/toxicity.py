@@ -4,8 +4,11 @@ A text's terms are its different words, lower-cased and hashed. The machine adds
 linear weight per term the product of two terms' factors, for each pair of terms in the
 text, so that a term can count only in company. It is trained in one task on at most
 ``SAMPLE_DOCS`` labelled texts of either label, weighted so that both labels keep the
-shares they have among all labelled rows. Terms of fewer than ``LEAST_TEXTS`` or a share
-of ``LEAST_SHARE`` of the sampled texts get no weight. Scoring is one pass without a shuffle.
+shares they have among all labelled rows. Terms of fewer than ``LEAST_TEXTS`` of the sampled
+texts get no weight, whatever the size of the sample. A term counts as much as the sampled
+labels differ with it (log ratio of its shares among either label), so that the many rare
+terms that say nothing do not fit the labels in place of those that do. Scoring is one
+pass without a shuffle.
 """
 
 import re
@@ -22,7 +25,7 @@ from auditloom.llm.folds import labelled_sample
 LOG_TERMS = 17
 FACTORS = 6
 SAMPLE_DOCS = 8_000
-LEAST_TEXTS, LEAST_SHARE = 4, 0.005
+LEAST_TEXTS = 4
 EPOCHS = 6
 BATCH = 64
 RATE = 0.3
@@ -44,7 +47,7 @@ class Model:
     bias: float
     weights: np.ndarray  # terms
     factors: np.ndarray  # terms x FACTORS
-    value: np.ndarray  # what a term counts, less for frequent ones
+    value: np.ndarray  # what a term counts: more the more it tells the labels apart, less for frequent ones
 
     def score(self, at: np.ndarray) -> float:
         x = self.value[at]
@@ -60,7 +63,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, row_weights: np.ndarray) ->
     seen = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size)
     # one for terms in less than a twentieth of the texts, down to zero for terms in all
     rarity = np.log((1 + len(rows)) / (1 + seen)) / np.log(20)
-    value = np.where(seen >= max(LEAST_TEXTS, LEAST_SHARE * len(rows)), np.clip(rarity, 0, 1), 0.0)
+    per_row = np.repeat(labels, [len(r) for r in rows]) if rows else None
+    toxic = np.bincount(np.concatenate(rows), per_row, size) if rows else np.zeros(size)
+    among_toxic = (1 + toxic) / (2 + np.sum(labels))
+    among_clean = (1 + seen - toxic) / (2 + len(rows) - np.sum(labels))
+    told = np.abs(np.log(among_toxic / among_clean))
+    value = np.where(seen >= LEAST_TEXTS, np.clip(rarity, 0, 1) * told, 0.0)
     share = np.average(labels, weights=row_weights) if len(rows) else 0.0
     share = min(max(share, 1e-6), 1 - 1e-6)
     bias = float(np.log(share / (1 - share)))

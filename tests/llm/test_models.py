@@ -100,6 +100,25 @@ def test_toxicity_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in odd)
 
 
+def test_toxicity_of_held_out_texts_in_each_language(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels.filter(fold(5) != 0))
+    got = toxicity.score(docs, model).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    got = got.filter(fold(5) == 0).toPandas()
+    found = got[got.toxic == 1].groupby("lang").predicted.mean()
+    assert found["en"] > 0.85 and found["es"] > 0.75 and found["de"] > 0.7 and found["fr"] > 0.85
+    assert got.predicted[got.toxic == 0].mean() < 0.01
+
+
+def test_rare_terms_count_in_samples_of_any_size():
+    for n in (400, 4000):
+        rows = [np.array([7 + i % 5] + [1] * (i < 4), dtype=np.int32) for i in range(n)]
+        rows = [np.unique(r) for r in rows]
+        y = (np.arange(n) < 4).astype(float)
+        model = toxicity.fit(rows, y, np.ones(n))
+        assert model.value[1] > 0 and model.score(rows[0]) > 2 * model.score(rows[5])
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
     model = toxicity.train(cases.messy(spark), none)
