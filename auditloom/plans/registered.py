@@ -305,21 +305,14 @@ def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- report ----------------------------------------------------------------------------------
 
 
-def _audit(spark: SparkSession, sf_dir: str):
-    """Rule alerts and reports of all orders, without forest and neighbours."""
-    facts = materialise(star.invoice_facts(spark, sf_dir))
-    texts = star.document_texts(spark, sf_dir)
-    with_text = facts.filter(~F.startswith("extraction_method", F.lit("vlm"))).select("invoice_idx")
-    digests = materialise(duplicates.text_digests(texts).join(with_text, "invoice_idx"))
-    running = materialise(benford.benford_running(facts, PARAMS))
-    alerts = audit.rule_alerts(facts, digests, running, None, None, PARAMS)
-    decisions = forest.forest_decisions(facts, None)
-    return facts, alerts, report.build_reports(facts, alerts, running, decisions)
+def _audit(spark: SparkSession, sf_dir: str) -> audit.AuditResult:
+    """All eight rules over all orders, forest and neighbours included."""
+    return audit.audit_invoices(star.nested_invoices(spark, sf_dir), params=PARAMS)
 
 
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: one report per invoice with its ordered alerts."""
-    _, _, reports = _audit(spark, sf_dir)
+    reports = _audit(spark, sf_dir).reports
     return reports.select(
         "invoice_idx",
         "invoice_id",
@@ -330,34 +323,22 @@ def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _texts_of_alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Facts, and the arithmetic alerts per invoice."""
-    facts = star.invoice_facts(spark, sf_dir)
-    found = report.as_alerts(
-        arithmetic.check_line_totals(facts, PARAMS), fixed.ARITHMETIC_LINES, fixed.WARNING
-    ).unionByName(
-        report.as_alerts(arithmetic.check_total(facts, PARAMS), fixed.ARITHMETIC_TTC, fixed.WARNING)
-    )
-    return facts, report.alerts_per_invoice(found)
-
-
 def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, alerts = _texts_of_alerts(spark, sf_dir)
+    alerts = report.alerts_per_invoice(_audit(spark, sf_dir).alerts)
     return alerts.select("invoice_idx", requests.alert_text(F.col("anomalies")).alias("alerts"))
 
 
 def fraud_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return requests.fraud_requests(*_texts_of_alerts(spark, sf_dir))
+    result = _audit(spark, sf_dir)
+    return requests.fraud_requests(result.facts, report.alerts_per_invoice(result.alerts))
 
 
 def level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, reports = _audit(spark, sf_dir)
-    return _round(summary.level_counts(reports), share=8)
+    return _round(_audit(spark, sf_dir).tables["level_counts"], share=8)
 
 
 def first_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, _, reports = _audit(spark, sf_dir)
-    first = report.first_report_with_alerts(reports, facts)
+    first = _audit(spark, sf_dir).tables["first_report"]
     return first.select(
         "invoice_idx",
         "fournisseur",
@@ -396,7 +377,7 @@ def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rule, forest and neighbours included, over nested invoices."""
-    result = audit.audit_invoices(star.nested_invoices(spark, sf_dir), params=PARAMS)
+    result = _audit(spark, sf_dir)
     return result.reports.withColumn("anomalies", requests.alert_text(F.col("anomalies")))
 
 
