@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from auditloom.llm.components import components
 from auditloom.llm.text import texts, words
@@ -181,33 +182,52 @@ def near_duplicates(
     (then it is null). Repeated rows each give a row; other columns are left out.
     """
     prints = materialise(fingerprints(docs, shingle_words))
+    labels = _labels(prints, radius, bucket_rows)
+    return prints.join(labels, "fingerprint").select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _labels(prints: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """``fingerprint``, ``component_id`` and ``shown`` of each different fingerprint.
+
+    ``shown`` is the smallest fingerprint that has a row with the component's id.
+    """
     distinct = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     found = components(near_links(distinct.select("fingerprint"), radius, bucket_rows))
     named = found.join(distinct, found["node"] == distinct["fingerprint"]).select("node", "component", "least")
-    least = named.groupBy("component").agg(F.min("least").alias("linked"))
-    linked = named.join(least, "component").select(F.col("node").alias("fingerprint"), "linked")
+    first = F.min(F.struct(F.isnull("least").alias("unnamed"), "least", "node"))
+    best = named.groupBy("component").agg(first.alias("best"))
+    linked = named.join(best, "component").selectExpr(
+        "node as fingerprint", "best.least as linked", "best.node as shown"
+    )
     # a row per different fingerprint, so large groups of copies meet one row each
-    labels = materialise(
+    return materialise(
         distinct.join(linked, "fingerprint", "left").selectExpr(
-            "fingerprint", "coalesce(linked, least) as component_id"
+            "fingerprint", "coalesce(linked, least) as component_id", "coalesce(shown, fingerprint) as shown"
         )
     )
-    return prints.join(labels, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
-    )
 
 
 def first_of_group(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """The rows of ``docs`` that represent their near-duplicate group.
+    """The rows of ``docs`` that represent their near-duplicate group, one of each.
 
-    A row stays if its doc_id is the component_id of its group. Repeated rows of one doc_id
-    with one fingerprint are the same document: one of them stays. In a group without
-    any doc_id nothing can name a row, and all its rows stay.
+    It is a row with the component_id of its group as doc_id or, in a group without any
+    doc_id, one without; of several such rows one with the smallest fingerprint. Rows that share
+    doc_id and fingerprint are the same document. All columns are kept.
     """
-    groups = near_duplicates(docs, shingle_words, radius)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    unnamed = docs.filter("doc_id is null")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(unnamed)
+    prints = materialise(fingerprints(docs, shingle_words))
+    labels = _labels(prints, radius, BUCKET_ROWS)
+    kept = labels.filter("fingerprint = shown").selectExpr("component_id as _id", "fingerprint as _kept")
+
+    def marked(batches):
+        for batch in batches:
+            found = [fingerprint(t, shingle_words) for t in texts(batch.column("text"))]
+            signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*batch.schema.names, "_print"])
+
+    rows = docs.mapInArrow(marked, StructType([*docs.schema.fields, StructField("_print", LongType())]))
+    same = (rows["_print"] == kept["_kept"]) & rows["doc_id"].eqNullSafe(kept["_id"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_print"]).drop("_print")

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -95,5 +96,15 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(want)
 
 
+def test_rows_without_id_and_texts_that_share_an_id(spark):
+    draw = random.Random(5)
+    a, b, c, d = (cases.sentence(draw, 60) for _ in range(4))
+    rows = [(1, a), (None, a), (None, a), (2, a), (1, b), (3, b), (None, c), (None, c), (5, d), (4, d), (5, d)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    kept = simhash.first_of_group(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (1, b), (None, c), (4, d)])
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(cases.empty(spark)).collect() == []
