@@ -251,9 +251,16 @@ def find_leaks(
     repeat their rows, repeated items count once, null doc_ids are kept; other columns
     are left out. Without items or documents the result is empty.
     """
+    return _search(docs, benchmark, "long", threshold, overlap, index_items)
+
+
+def _search(
+    docs: DataFrame, benchmark: DataFrame, kind: str, threshold: float, overlap: float, index_items: int
+) -> DataFrame:
+    """``find_leaks`` with doc_ids of type ``kind``, long or string."""
     spark = docs.sparkSession
     source = docs.select("doc_id", "text").filter("text is not null")
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, start long"
+    schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double, start long"
     result = spark.createDataFrame([], schema)
     for index in _indexes(benchmark, index_items):
         shared = spark.sparkContext.broadcast(index)  # bounded by index_items
@@ -266,15 +273,15 @@ def find_leaks(
                     texts.append(tokens(text))
                     size += len(texts[-1])
                     if size >= CHUNK_WORDS:
-                        yield _verified(shared.value, ids, texts, threshold, overlap)
+                        yield _verified(shared.value, ids, texts, threshold, overlap, kind)
                         ids, texts, size = [], [], 0
-                yield _verified(shared.value, ids, texts, threshold, overlap)
+                yield _verified(shared.value, ids, texts, threshold, overlap, kind)
 
         result = result.unionByName(source.mapInArrow(rows, schema))
     return result
 
 
-def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: float) -> pa.RecordBatch:
+def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: float, kind: str) -> pa.RecordBatch:
     best = {}
     for n, start, item, score in index.search(texts, threshold):
         asked, answered = index.overlap(item, texts[n][start : start + index.passage])
@@ -282,7 +289,7 @@ def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: f
         if asked >= overlap and answered >= overlap and ((n, item) not in best or best[n, item][0] < rank):
             best[n, item] = (rank, (ids[n], index.ids[item], score, asked, answered, start))
     columns = list(zip(*(row for _, row in best.values()))) if best else [[]] * 6
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+    kinds = (pa.string() if kind == "string" else pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
     names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "start"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -290,8 +297,12 @@ def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: f
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no test item.
 
-    The ids found are written first; rows meet them by doc_id. A row without doc_id cannot
-    be named by a finding and stays only if no row without doc_id holds an item.
+    The rows found are written first, as 128-bit hashes of doc_id and text; rows meet them by
+    these, so that other texts under the same doc_id or without one stay.
     """
-    found = materialise(find_leaks(docs, benchmark).select("doc_id").distinct())
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(" "), F.col("text")))
+    keyed = docs.withColumn("_key", key)
+    rows = keyed.select(F.col("_key").alias("doc_id"), "text")
+    found = _search(rows, benchmark, "string", THRESHOLD, OVERLAP, INDEX_ITEMS)
+    found = materialise(found.select(F.col("doc_id").alias("_key")).distinct())
+    return keyed.join(found, "_key", "left_anti").drop("_key")

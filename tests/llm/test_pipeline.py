@@ -1,5 +1,7 @@
 """The five stages one after the other, each against what its operator finds."""
 
+import random
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +54,18 @@ def test_leaks_go_and_nothing_else(spark, sf_dir, kept):
     assert decontaminate.find_leaks(kept[3], benchmark).isEmpty()
 
 
+def test_only_rows_that_hold_an_item_go(spark):
+    draw = random.Random(6)
+    item, clean, other = (cases.sentence(draw, 60) for _ in range(3))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, clean), (7, "ahead " + item), (7, other), (8, None), (None, None), (9, clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontaminate.without_leaks(docs, benchmark)
+    want = [(None, clean), (7, other), (8, None), (None, None), (9, clean)]
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_secrets_are_gone_and_documents_are_not(kept):
     assert ids(kept[4]) == ids(kept[3])
     model = secrets.train(kept[3].select("text"))
