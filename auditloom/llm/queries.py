@@ -5,7 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import decontaminate, language, licenses, neighbours, packing, quality, secrets, simhash, substring, toxicity
+from auditloom.llm import (
+    decontaminate,
+    exact,
+    language,
+    licenses,
+    merkle,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    toxicity,
+    whitening,
+)
 from auditloom.llm.folds import fold, held_out
 
 
@@ -72,6 +86,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every vector."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest, proof and check of every document."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, and which of its equals stays."""
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,8 +114,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_quality,
         op10_simhash_near_dedup,
+        op11_whitening,
+        op12_merkle_manifest,
+        op13_exact_dedup,
     )
 }
 
 # for queries that SQL can express
-ORACLE_SQL: dict[str, str] = {"op1_license_scan": licenses.sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": licenses.sql(),
+    "op12_merkle_manifest": merkle.sql(),
+    "op13_exact_dedup": exact.SQL,
+}

@@ -2,9 +2,16 @@
 
 import pyarrow as pa
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def lowered(text: bytes | None) -> bytes:
+    """``text`` with A-Z lower-cased and nothing else changed; null is empty."""
+    return b"" if text is None else text.translate(_LOWER)
+
+
 def words(text: bytes | None, lower: bool = False) -> list[bytes]:
     """Runs of bytes other than space and \\x09-\\x0D; ``lower`` lower-cases A-Z only."""
     if text is None:
