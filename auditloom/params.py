@@ -49,10 +49,16 @@ class AuditParams:
     history_bucket_rows: int = 100_000
     # bucket totals that one task of the next level handles
     bucket_fan_out: int = 1_000
+    # folders of the index on disk; an index keeps the number it was written with
+    index_buckets: int = 256
     # a key is hot when it holds more rows than both of these allow; at most
     # 1/hot_share keys can be hot, which bounds what is broadcast
     hot_min_rows: int = 1_000_000
     hot_share: float = 1e-4
+    # rows of one key that one task joins; keys that hold more, but are not hot, are salted
+    salt_rows: int = 100_000
+    # hash slots of keys that are salted alike, which bounds what is broadcast for it
+    salt_slots: int = 1 << 18
     # cells of up to this many rows yield candidate pairs, larger ones are tiled
     pair_rows: int = 50
     # rows per side of one similarity task

@@ -237,9 +237,10 @@ def _filled(template: str, **values: str) -> str:
 
 # --- similarity --------------------------------------------------------------------------
 
-_TEXT_PAIRS = """
-WITH worded AS (
-  SELECT doc_id, source, CAST(n_chars AS DOUBLE) AS ttc, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+def _text_pairs(words: str) -> str:
+    """Pairs at or above 0.85 of the texts in ``words``: doc_id, supplier, fournisseur, ttc, asked, w."""
+    return f"""
+worded AS ({words}),
 terms AS (
   SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
   FROM worded),
@@ -256,53 +257,185 @@ dots AS (
   SELECT a.doc_id AS x, b.doc_id AS y, round(sum(a.u * b.u), 6) AS s
   FROM unit a JOIN unit b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
   HAVING round(sum(a.u * b.u), 6) >= 0.85),
-member AS (SELECT doc_id, source, ttc, id FROM worded JOIN contents ON c = list_aggregate(w, 'string_agg', ' ') WHERE len(w) > 0),
+member AS (
+  SELECT doc_id, supplier, fournisseur, ttc, asked, id FROM worded JOIN contents ON c = list_aggregate(w, 'string_agg', ' ')
+  WHERE len(w) > 0),
 pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, CAST(1.0 AS DOUBLE) AS s FROM member a JOIN member b ON a.id = b.id AND a.doc_id <> b.doc_id
   UNION ALL
   SELECT a.doc_id, b.doc_id, s FROM dots JOIN member a ON a.id = x JOIN member b ON b.id = y),
 ranked AS (
   SELECT pairs.x, y, row_number() OVER (PARTITION BY pairs.x ORDER BY s DESC, y) AS rank, round(s, 3) AS similarity,
-    lower(trim(q.source)) AS supplier, lower(trim(m.source)) AS fournisseur, m.ttc AS total_ttc
-  FROM pairs JOIN member q ON q.doc_id = pairs.x JOIN member m ON m.doc_id = y)
+    q.supplier, m.fournisseur, m.ttc AS total_ttc
+  FROM pairs JOIN member q ON q.doc_id = pairs.x AND q.asked JOIN member m ON m.doc_id = y)
 """
 
+
+_TEXT_PAIRS = "WITH " + _text_pairs(
+    """
+  SELECT doc_id, lower(trim(source)) AS supplier, lower(trim(source)) AS fournisseur, CAST(n_chars AS DOUBLE) AS ttc,
+    true AS asked, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents"""
+)
+
 _SEMANTIC_DETAIL = (
-    "printf('Doublon semantique (sim=%.3f, fournisseur=%s, ttc=%s)', similarity, fournisseur, printf('%.1f', total_ttc))"
+    "printf('Doublon semantique (sim=%.3f, fournisseur=%s, ttc=%s)', similarity, fournisseur, CAST(total_ttc AS VARCHAR))"
 )
+_SEMANTIC_FOUND = f"""
+  SELECT x AS invoice_idx, rank, y AS similar_idx, similarity,
+    CASE WHEN similarity > 0.95 THEN 'semantic_duplicate' ELSE 'near_duplicate' END AS rule,
+    CASE WHEN similarity > 0.95 THEN 'critical' ELSE 'warning' END AS level,
+    CASE WHEN similarity > 0.95 THEN {_SEMANTIC_DETAIL}
+      ELSE printf('Facture tres similaire (sim=%.3f)', similarity) END AS detail
+  FROM ranked WHERE rank <= 3 AND (similarity > 0.95 OR (similarity > 0.85 AND supplier = fournisseur))
+"""
+
+# --- forest --------------------------------------------------------------------------------
+
+_SEED, _TREES, _SAMPLE = 42, 200, 256
+_DEPTH = 8  # of a tree over 256 rows; the SQL is for portfolios of at least as many
+_FEATURE_NAMES = ("f_amount", "f_lines", "f_ratio", "f_gap")
+
+
+def _hex(text: str, start: int, count: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), {start + 1}, {count}) AS BIGINT)"
+
+
+def _unit(text: str) -> str:
+    return f"({_hex(text, 0, 13)} / CAST(4503599627370496 AS DOUBLE))"
+
+
+_ONE_FEATURE = "CASE {which} " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(_FEATURE_NAMES, 1)) + " END"
+
+
+def _forest() -> str:
+    """Trees grown level by level, then every row led down all of them."""
+    names = ", ".join(_FEATURE_NAMES)
+    query = f"""
+features AS (
+  SELECT invoice_idx, total_ttc AS f_amount, CAST(n_lines AS DOUBLE) AS f_lines,
+    CASE WHEN total_ht > 0 THEN total_ttc / total_ht ELSE 1.0::DOUBLE END AS f_ratio,
+    abs(total_ttc - line_sum) / total_ttc AS f_gap FROM invoices WHERE total_ttc > 0),
+sizes AS (SELECT count(*) AS n_rows FROM features),
+trees AS (
+  SELECT tree, 1 + {_hex(f"'{_SEED}:tree:' || tree", 0, 15)} % 2147483646 AS a,
+    {_hex(f"'{_SEED}:tree:' || tree", 15, 15)} % 2147483647 AS b FROM range({_TREES}) r(tree)),
+pool AS (
+  SELECT features.*, {_hex(f"'{_SEED}:row:' || invoice_idx", 13, 15)} % 2147483647 AS number
+  FROM features, sizes
+  WHERE {_unit(f"'{_SEED}:row:' || invoice_idx")} < CAST({2 * _SAMPLE * _TREES} AS DOUBLE) / n_rows),
+draws AS (
+  SELECT tree, pool.*, (number * a + b) % 2147483647 AS draw FROM pool, trees),
+l0 AS (
+  SELECT tree, invoice_idx, {names}, 0 AS node FROM draws, sizes
+  WHERE draw < CAST({2.0 * _SAMPLE} AS DOUBLE) / least(n_rows, {2 * _SAMPLE * _TREES}) * 2147483647
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, invoice_idx) <= {_SAMPLE}),"""
+    lows = ", ".join(f"min({f}) AS low{i}, max({f}) AS high{i}" for i, f in enumerate(_FEATURE_NAMES, 1))
+    spread = "list_concat(" * 3 + ", ".join(
+        f"CASE WHEN high{i} > low{i} THEN [{i}] ELSE [] END" + (")" if i > 1 else "") for i in range(1, 5)
+    )
+    low, high = ("CASE which " + " ".join(f"WHEN {i} THEN {x}{i}" for i in range(1, 5)) + " END" for x in ("low", "high"))
+    key = f"'{_SEED}:' || tree || ':' || node || "
+    for k in range(_DEPTH):
+        query += f"""
+s{k} AS (
+  SELECT tree, node, n, which, {low} + {_unit(key + "':cut'")} * ({high} - {low}) AS cut FROM (
+    SELECT *, spread[1 + CAST(floor({_unit(key + "':feature'")} * len(spread)) AS BIGINT)] AS which FROM (
+      SELECT tree, node, count(*) AS n, {lows}, {spread} AS spread FROM l{k} GROUP BY tree, node))),
+l{k + 1} AS (
+  SELECT l.tree, invoice_idx, {names},
+    2 * l.node + 1 + CAST({_ONE_FEATURE.format(which='which')} > cut AS INTEGER) AS node
+  FROM l{k} l JOIN s{k} s ON s.tree = l.tree AND s.node = l.node WHERE which IS NOT NULL),"""
+    every = " UNION ALL ".join(f"SELECT tree, node, n, which, cut, {k} AS level FROM s{k}" for k in range(_DEPTH))
+    query += f"""
+nodes AS ({every} UNION ALL
+  SELECT tree, node, count(*), NULL, NULL, {_DEPTH} FROM l{_DEPTH} GROUP BY tree, node),
+p0 AS (SELECT invoice_idx, {names}, tree, 0 AS node FROM features, trees),"""
+    for k in range(_DEPTH):
+        query += f"""
+p{k + 1} AS (
+  SELECT invoice_idx, {names}, p.tree, CASE WHEN which IS NULL THEN p.node
+    ELSE 2 * p.node + 1 + CAST({_ONE_FEATURE.format(which='which')} > cut AS INTEGER) END AS node
+  FROM p{k} p LEFT JOIN nodes s ON s.tree = p.tree AND s.node = p.node),"""
+    mean = "CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1) / {n} END"
+    return (
+        query
+        + f"""
+scores AS (
+  SELECT invoice_idx, -pow(2, -sum(floor(log2(p.node + 1)) + {mean.format(n='coalesce(s.n, 0)')})
+    / {_TREES} / ({mean.format(n=_SAMPLE)})) AS score
+  FROM p{_DEPTH} p LEFT JOIN nodes s ON s.tree = p.tree AND s.node = p.node GROUP BY invoice_idx),
+decided AS (
+  SELECT i.invoice_idx, score - (SELECT quantile_cont(score, 0.05) FROM scores) AS decision
+  FROM invoices i LEFT JOIN scores s ON s.invoice_idx = i.invoice_idx)
+"""
+    )
+
+
+_FOREST = _forest()
+_DETAIL_FOREST = "printf('Anomalie multivariee (IF score=%.3f)', decision)"
+_DETAIL_BENFORD = "'chi2=' || CAST(round(chi2, 2) AS VARCHAR) || ', p=' || CAST(round(pvalue, 6) AS VARCHAR)"
+_DETAIL_ZSCORE = "printf('Z-score=%.1f (moy=%.2f, sigma=%.2f)', z, mu, sigma)"
+_DETAIL_HASH = "'Doublon exact detecte (hash=' || substr(digest, 1, 12) || '...)'"
+
+# --- reports -------------------------------------------------------------------------------
+
+_DECISIONS = """
+dialogues AS (
+  SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN text || chr(10) || '  Decision: REVIEW - RAISON: ' || role || ' ' || chr(10) || 'end'
+    WHEN 1 THEN '```' || chr(10) || text || chr(10) || '```' ELSE text END AS raw FROM conversations),
+said AS (
+  SELECT *, nullif(CASE WHEN NOT starts_with(t, '```') THEN t WHEN contains(t, chr(10))
+    THEN regexp_replace(substr(t, instr(t, chr(10)) + 1), '(?s)^(.*)```.*$', '\\1') END, '') AS a
+  FROM (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM dialogues)),
+decisions AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(
+    regexp_replace(list_filter(string_split(a, chr(10)), lambda x: contains(upper(x), 'DECISION:'))[1], '^\\s+|\\s+$', '', 'g'),
+    right(a, 200)) AS llm_decision FROM said)
+"""
 
 _RULES = (
     _RUNNING
+    + ","
+    + _FOREST
+    + ","
+    + _DECISIONS
+    + ","
+    + _text_pairs(
+        """
+  SELECT doc_id, lower(trim(fournisseur)) AS supplier, lower(trim(coalesce(fournisseur, 'unknown'))) AS fournisseur,
+    total_ttc AS ttc, extraction_method <> 'regex_fallback' AS asked,
+    regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w
+  FROM documents JOIN invoices ON invoice_idx = doc_id WHERE extraction_method NOT LIKE 'vlm%'"""
+    )
     + f""",
 later AS (
-  SELECT doc_id AS invoice_idx FROM (
-    SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS n
+  SELECT doc_id AS invoice_idx, digest FROM (
+    SELECT doc_id, sha256(text) AS digest, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS n
     FROM documents JOIN invoices ON invoice_idx = doc_id
     WHERE extraction_method NOT LIKE 'vlm%' AND trim(text) <> '') WHERE n > 1),
 alerts AS (
-  SELECT invoice_idx, 1 AS seq, 'arithmetic_lines' AS rule, 'warning' AS level FROM ({_LINES_FOUND})
-  UNION ALL SELECT invoice_idx, 2, 'arithmetic_ttc', 'warning' FROM ({_TTC_FOUND})
-  UNION ALL SELECT invoice_idx, 3, 'hash_duplicate', 'critical' FROM later
-  UNION ALL SELECT invoice_idx, 5, 'zscore', 'warning' FROM ({_ZSCORE})
-  UNION ALL SELECT invoice_idx, 7, 'benford', 'warning' FROM tested WHERE pvalue < 0.05),
+  SELECT invoice_idx, 10 AS seq, 'arithmetic_lines' AS rule, 'warning' AS level, {_DETAIL_LINES} AS detail FROM ({_LINES_FOUND})
+  UNION ALL SELECT invoice_idx, 20, 'arithmetic_ttc', 'warning', {_DETAIL_TTC} FROM ({_TTC_FOUND})
+  UNION ALL SELECT invoice_idx, 30, 'hash_duplicate', 'critical', {_DETAIL_HASH} FROM later
+  UNION ALL SELECT invoice_idx, 40 + rank, rule, level, detail FROM ({_SEMANTIC_FOUND})
+  UNION ALL SELECT invoice_idx, 50, 'zscore', 'warning', {_DETAIL_ZSCORE} FROM ({_ZSCORE})
+  UNION ALL SELECT invoice_idx, 60, 'isolation_forest', 'warning', {_DETAIL_FOREST} FROM decided WHERE decision < -0.1
+  UNION ALL SELECT invoice_idx, 70, 'benford', 'warning', {_DETAIL_BENFORD} FROM tested WHERE pvalue < 0.05),
 grouped AS (
   SELECT invoice_idx, count(*) AS n_alerts, string_agg(rule, ',' ORDER BY seq) AS rules,
+    string_agg(detail, chr(10) ORDER BY seq) AS details,
+    string_agg('- [' || upper(level) || '] ' || rule || ': ' || detail, chr(10) ORDER BY seq) AS told,
     bool_or(level = 'critical') AS critical FROM alerts GROUP BY invoice_idx),
 reports AS (
   SELECT i.invoice_idx, numero_facture AS invoice_id,
     CASE WHEN critical THEN 'critical' WHEN n_alerts > 0 THEN 'warning' ELSE 'ok' END AS overall_level,
-    round(pvalue, 6) AS benford_pvalue, coalesce(n_alerts, 0) AS n_alerts, coalesce(rules, '') AS rules
-  FROM invoices i LEFT JOIN grouped g ON g.invoice_idx = i.invoice_idx LEFT JOIN tested t ON t.invoice_idx = i.invoice_idx)
-"""
-)
-
-_ALERT_TEXT = (
-    _INVOICES
-    + f""",
-found AS (
-  SELECT invoice_idx, 1 AS seq, '- [WARNING] arithmetic_lines: ' || {_DETAIL_LINES} AS line FROM ({_LINES_FOUND})
-  UNION ALL SELECT invoice_idx, 2, '- [WARNING] arithmetic_ttc: ' || {_DETAIL_TTC} FROM ({_TTC_FOUND})),
-told AS (SELECT invoice_idx, string_agg(line, chr(10) ORDER BY seq) AS alerts FROM found GROUP BY invoice_idx)
+    round(pvalue, 6) AS benford_pvalue, coalesce(n_alerts, 0) AS n_alerts, coalesce(rules, '') AS rules,
+    coalesce(details, '') AS details, round(decision, 4) AS isolation_forest_score,
+    CASE WHEN n_alerts > 0 THEN llm_decision END AS llm_decision, coalesce(told, '') AS told
+  FROM invoices i LEFT JOIN grouped g ON g.invoice_idx = i.invoice_idx LEFT JOIN tested t ON t.invoice_idx = i.invoice_idx
+    LEFT JOIN decided d ON d.invoice_idx = i.invoice_idx
+    LEFT JOIN (SELECT * FROM decisions QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1) v
+      ON v.conv_id = i.invoice_idx)
 """
 )
 
@@ -362,20 +495,15 @@ ORACLE_SQL: dict[str, str] = {
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE s >= 0.4 AND rank <= 3""",
     "similar_texts": _TEXT_PAIRS
     + """SELECT x AS invoice_idx, rank, y AS similar_idx, similarity, fournisseur, total_ttc FROM ranked WHERE rank <= 5""",
-    "semantic_duplicates": _TEXT_PAIRS
-    + f"""SELECT x AS invoice_idx, rank, y AS similar_idx, similarity,
-        CASE WHEN similarity > 0.95 THEN 'semantic_duplicate' ELSE 'near_duplicate' END AS rule,
-        CASE WHEN similarity > 0.95 THEN 'critical' ELSE 'warning' END AS level,
-        CASE WHEN similarity > 0.95 THEN {_SEMANTIC_DETAIL}
-          ELSE printf('Facture tres similaire (sim=%.3f)', similarity) END AS detail
-      FROM ranked WHERE rank <= 3 AND (similarity > 0.95 OR (similarity > 0.85 AND supplier = fournisseur))""",
+    "semantic_duplicates": _TEXT_PAIRS + _SEMANTIC_FOUND,
     "benford_portfolio": _PORTFOLIO
     + f"""SELECT {', '.join(_COUNTS)}, n_digits, round(chi2, 2) AS chi2, round(pvalue, 6) AS pvalue,
       coalesce(pvalue < 0.05, false) AS anomaly FROM tested""",
     "benford_running": _RUNNING
     + "SELECT invoice_idx, n_amounts, n_digits, round(chi2, 4) AS chi2, round(pvalue, 6) AS pvalue FROM tested",
     "benford_alerts": _RUNNING
-    + "SELECT invoice_idx, round(chi2, 2) AS chi2, round(pvalue, 6) AS pvalue FROM tested WHERE pvalue < 0.05",
+    + f"""SELECT invoice_idx, round(chi2, 2) AS chi2, round(pvalue, 6) AS pvalue, {_DETAIL_BENFORD} AS detail
+      FROM tested WHERE pvalue < 0.05""",
     "digit_distribution": _PORTFOLIO
     + f"SELECT digit, n, round(o, 8) AS observed_share, round(e, 8) AS expected_share FROM ({_SHARES})",
     "ocr_texts": _BLOCKS
@@ -418,17 +546,7 @@ ORACLE_SQL: dict[str, str] = {
         {_filled(fixed.RETRY_PROMPT, error=_quoted(fixed.RETRY_OCR_ERROR))} || {_quoted(fixed.RETRY_OCR_TEXT)} || full_text
       FROM rejected r JOIN texts t ON t.image_path = r.image_path
       WHERE method = 'ocr_llm' AND regexp_matches(full_text, '\\S')""",
-    "decision_parse": """
-      WITH raws AS (
-        SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN text || chr(10) || '  Decision: REVIEW - RAISON: ' || role || ' ' || chr(10) || 'end'
-          WHEN 1 THEN '```' || chr(10) || text || chr(10) || '```' ELSE text END AS raw FROM conversations),
-      answers AS (
-        SELECT *, nullif(CASE WHEN NOT starts_with(t, '```') THEN t WHEN contains(t, chr(10))
-          THEN regexp_replace(substr(t, instr(t, chr(10)) + 1), '(?s)^(.*)```.*$', '\\1') END, '') AS a
-        FROM (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM raws))
-      SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(
-        regexp_replace(list_filter(string_split(a, chr(10)), lambda x: contains(upper(x), 'DECISION:'))[1], '^\\s+|\\s+$', '', 'g'),
-        right(a, 200)) AS llm_decision FROM answers""",
+    "decision_parse": "WITH " + _DECISIONS + "SELECT * FROM decisions",
     "kept_images": _KEPT.format(cap=""),
     "first_images": _KEPT.format(cap="ORDER BY image_path LIMIT 50"),
     "index_records": _INVOICES
@@ -447,9 +565,26 @@ ORACLE_SQL: dict[str, str] = {
       SELECT * FROM updates UNION ALL
       SELECT 'inv_' || invoice_idx, '', lower(fournisseur), total_ttc, date_facture, extraction_method, 0
       FROM invoices WHERE 'inv_' || invoice_idx NOT IN (SELECT id FROM updates)""",
-    "audit_report": _RULES + "SELECT * FROM reports",
-    "alert_text": _ALERT_TEXT + "SELECT * FROM told",
-    "fraud_requests": _ALERT_TEXT
+    "audit_report": _RULES + "SELECT * EXCLUDE (told) FROM reports",
+    "full_audit": _RULES
+    + """SELECT invoice_idx, invoice_id, told AS anomalies, overall_level, benford_pvalue, isolation_forest_score, llm_decision
+      FROM reports""",
+    "alert_text": _RULES + "SELECT invoice_idx, told AS alerts FROM grouped",
+    "forest_scores": _INVOICES + "," + _FOREST + "SELECT invoice_idx, round(decision, 4) AS decision FROM decided",
+    "forest_alerts": _INVOICES
+    + ","
+    + _FOREST
+    + f"SELECT invoice_idx, round(decision, 6) AS decision, {_DETAIL_FOREST} AS detail FROM decided WHERE decision < -0.1",
+    "score_histogram": _INVOICES
+    + ","
+    + _FOREST
+    + """, r AS (SELECT min(decision) AS low, max(decision) AS high FROM decided),
+      b AS (SELECT unnest(range(1, 21)) AS bin, low, (high - low) / 20 AS w FROM r),
+      c AS (SELECT least(CAST(floor((decision - low) / ((high - low) / 20)) AS BIGINT) + 1, 20) AS bin, count(*) AS n
+        FROM decided, r WHERE decision IS NOT NULL GROUP BY 1)
+      SELECT b.bin, round(low + (b.bin - 1) * w, 6) AS bin_from, round(low + b.bin * w, 6) AS bin_to, coalesce(n, 0) AS n,
+        -0.1::DOUBLE AS alert_below FROM b LEFT JOIN c ON c.bin = b.bin""",
+    "fraud_requests": _RULES
     + "SELECT i.invoice_idx, "
     + _filled(
         fixed.FRAUD_PROMPT,
@@ -460,9 +595,9 @@ ORACLE_SQL: dict[str, str] = {
         total_ttc=_float("total_ttc"),
         nb_lignes="n_lines",
         method="extraction_method",
-        alerts="alerts",
+        alerts="told",
     )
-    + " AS prompt FROM invoices i JOIN told t ON t.invoice_idx = i.invoice_idx",
+    + " AS prompt FROM invoices i JOIN grouped g ON g.invoice_idx = i.invoice_idx",
     "level_counts": _RULES
     + """SELECT l.overall_level, count(r.invoice_idx) AS n,
       round(count(r.invoice_idx) / (SELECT count(*) FROM reports), 8) AS share

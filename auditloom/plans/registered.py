@@ -121,7 +121,7 @@ def benford_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 def benford_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
     running = materialise(benford.benford_running(facts, PARAMS))
-    return benford.check_benford(running, PARAMS).select("invoice_idx", "chi2", "pvalue")
+    return benford.check_benford(running, PARAMS).select("invoice_idx", "chi2", "pvalue", "detail")
 
 
 def digit_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,8 +306,10 @@ def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _audit(spark: SparkSession, sf_dir: str) -> audit.AuditResult:
-    """All eight rules over all orders, forest and neighbours included."""
-    return audit.audit_invoices(star.nested_invoices(spark, sf_dir), params=PARAMS)
+    """All eight rules over all orders, forest and neighbours included, and the verdicts."""
+    return audit.audit_invoices(
+        star.nested_invoices(spark, sf_dir), star.verdict_answers(spark, sf_dir), params=PARAMS
+    )
 
 
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,6 +322,9 @@ def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "benford_pvalue",
         F.size("anomalies").cast("bigint").alias("n_alerts"),
         F.array_join(F.transform("anomalies", lambda a: a["rule"]), ",").alias("rules"),
+        F.array_join(F.transform("anomalies", lambda a: a["detail"]), "\n").alias("details"),
+        "isolation_forest_score",
+        "llm_decision",
     )
 
 
@@ -366,13 +371,14 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
     decisions = forest.fit_decisions(facts, PARAMS)
-    return forest.check_forest(decisions, PARAMS)
+    return _round(forest.check_forest(decisions, PARAMS), decision=6)
 
 
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = materialise(star.invoice_facts(spark, sf_dir))
     decisions = forest.fit_decisions(facts, PARAMS)
-    return summary.score_histogram(decisions, PARAMS)
+    bins = summary.score_histogram(decisions, PARAMS)
+    return _long(_round(bins, bin_from=6, bin_to=6), "bin")
 
 
 def full_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

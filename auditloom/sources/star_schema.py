@@ -298,3 +298,10 @@ def conversation_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
         .alias("raw"),
     )
+
+
+def verdict_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as verdict dialogues about the invoice of their number, turns as attempts."""
+    return conversation_answers(spark, sf_dir).select(
+        F.col("conv_id").alias("invoice_idx"), F.col("turn").alias("attempt"), "raw"
+    )

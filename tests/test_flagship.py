@@ -1,4 +1,7 @@
-"""The flagship and its summaries hold all eight rules: five as in the SQL, three by brute force."""
+"""The flagship and its summaries hold all eight rules; copies and outliers by brute force.
+
+The SQL of the registered queries is compared in test_oracles.
+"""
 
 import math
 from collections import Counter
@@ -6,12 +9,10 @@ from collections import Counter
 import pytest
 
 from auditloom import fixed_values as fixed
-from auditloom.operators import forest
-from auditloom.plans.oracle import ORACLE_SQL
+from auditloom.operators import forest, report
 from auditloom.plans.registered import PARAMS, QUERIES
 from auditloom.session import materialise
 from auditloom.sources import star_schema as star
-from tests.oracle_check import connect
 from tests.test_similarity import brute_force, text_product
 
 OTHERS = {fixed.SEMANTIC_DUPLICATE, fixed.NEAR_DUPLICATE, fixed.ISOLATION_FOREST}
@@ -23,17 +24,6 @@ def reports(spark, sf_dir):
     return {r.invoice_idx: r.asDict() | {"rules": [x for x in r.rules.split(",") if x]} for r in rows}
 
 
-def test_five_rules_as_in_the_sql(sf_dir, reports):
-    result = connect(sf_dir).execute(ORACLE_SQL["audit_report"])
-    names = [d[0] for d in result.description]
-    found = [dict(zip(names, row)) for row in result.fetchall()]
-    assert len(found) == len(reports)
-    for want in found:
-        got = reports[want["invoice_idx"]]
-        assert [x for x in got["rules"] if x not in OTHERS] == [x for x in want["rules"].split(",") if x]
-        assert (got["invoice_id"], got["benford_pvalue"]) == (want["invoice_id"], want["benford_pvalue"])
-
-
 def test_copies_by_brute_force(spark, sf_dir, reports):
     rows = star.nested_invoices(spark, sf_dir).select("invoice_idx", "raw_text", "extraction_method").collect()
     rows = [r for r in rows if r.raw_text]
@@ -69,3 +59,22 @@ def test_summaries_and_prompts_follow_the_reports(spark, sf_dir, reports):
     assert all(math.isclose(r.share, r.n / len(reports), abs_tol=1e-8) for r in counts)
     [first] = QUERIES["first_report"](spark, sf_dir).collect()
     assert first.invoice_idx == min(flagged) and first.rules.split(",") == reports[first.invoice_idx]["rules"]
+
+
+def test_newest_answer_decides(spark):
+    said = [(1, 1, "DECISION: BLOCK - a"), (1, 10, "x\n DECISION: APPROVE - b "), (1, 2, None), (2, 1, "only"), (3, 5, None)]
+    attempts = spark.createDataFrame(said, "invoice_idx long, attempt int, raw string").repartition(3)
+    found = {r.invoice_idx: r.llm_decision for r in report.verdicts(attempts).collect()}
+    assert found == {1: "DECISION: APPROVE - b", 2: "only", 3: None}
+
+
+def test_verdicts_of_the_report(spark, sf_dir, reports):
+    """Only invoices with alerts have one, that of the last turn of their dialogue."""
+    last = {}
+    for r in star.verdict_answers(spark, sf_dir).collect():
+        last[r.invoice_idx] = max(last.get(r.invoice_idx, (-1, "")), (r.attempt, r.raw))
+    for i, row in reports.items():
+        assert (row["llm_decision"] is not None) == (i in last and bool(row["rules"]))
+        if row["llm_decision"] and last[i][1].startswith("DECISION"):
+            assert row["llm_decision"] in last[i][1]
+    assert any(row["llm_decision"] for row in reports.values())

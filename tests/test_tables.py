@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from auditloom.operators import summary
+from auditloom.operators import skew, summary
 from auditloom.operators.running import dense_index, running_totals
 from auditloom.operators.skew import hot_keys, key_counts, skewed_lookup
 from auditloom.params import AuditParams
@@ -48,15 +48,54 @@ def test_hot_keys_and_lookup(spark):
         assert got == sorted((k, i, k.upper()) for k, i in rows.collect() if k != "k0")
 
 
-def test_image_listing(spark, tmp_path):
-    for name in ["a.jpg", "b.JPG", "c.txt", "sub/d.png", "sub/deep/e.tiff", "f.bmp", "g.jpeg", "h.tif"]:
+def test_keys_below_the_hot_limit_are_salted(spark):
+    """One key holds half of what would make it hot; no task gets more than a piece of it."""
+    rows = spark.range(20_000).selectExpr("if(id < 5000, -1, id % 3000) as k", "id as i").repartition(4)
+    params = AuditParams(hot_min_rows=10_000, salt_rows=500, salt_slots=64)
+    counts = key_counts(rows, "k")
+    assert hot_keys(counts, "k", params).isEmpty()
+    slots = skew.salted_slots(counts, "k", params)
+    assert [r["pieces"] for r in slots.collect()] == [10]
+    lookup = spark.range(-1, 2_000).selectExpr("id as k", "id * 2 as v")
+    joined = skew.salted_join(rows, lookup, "k", slots, params)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = joined.filter("k = -1").groupBy(F.spark_partition_id().alias("task")).agg(F.count("i").alias("n"))
+        found = tasks.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["n"] for r in found) == 5_000
+    # ten pieces over 64 tasks: two may meet, most do not
+    assert len(found) >= 7 and max(r["n"] for r in found) <= 3 * 600
+    want = sorted((r["k"], r["i"], 2 * r["k"]) for r in rows.collect() if r["k"] < 2_000)
+    for p in (params, AuditParams(hot_min_rows=1_000, hot_share=0.0, salt_rows=5, salt_slots=8)):
+        got = skewed_lookup(rows, lookup, "k", p).select("k", "i", "v").collect()
+        assert sorted(map(tuple, got)) == want
+
+
+LISTED = ["a.jpg", "f.bmp", "g.jpeg", "h.tif", "sub/d.png", "sub/deep/e.tiff", "_x.png", ".y.png", "_d/z.png", ".h/i/j.jpg"]
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_image_listing(spark, tmp_path, scheme):
+    for name in [*LISTED, "b.JPG", "c.txt", "png", "sub/jpg", "folder.png/k.gif", "none.png"]:
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_bytes(b"12345")
-    rows = images.find_invoice_images(spark, str(tmp_path)).collect()
-    names = sorted(r["path"].split(str(tmp_path))[1].lstrip("/") for r in rows)
-    assert names == ["a.jpg", "f.bmp", "g.jpeg", "h.tif", "sub/d.png", "sub/deep/e.tiff"]
-    assert {r["length"] for r in rows} == {5}
+        path.write_bytes(b"" if name == "none.png" else b"12345")
+    (tmp_path / "empty folder").mkdir()
+    rows = images.find_invoice_images(spark, scheme + str(tmp_path)).collect()
+    found = {r["path"].split(str(tmp_path))[1].lstrip("/"): r["length"] for r in rows}
+    assert found == {name: 5 for name in LISTED} | {"none.png": 0} and len(rows) == len(found)
+
+
+def test_listing_of_nothing(spark, tmp_path):
+    assert images.find_invoice_images(spark, str(tmp_path)).collect() == []
+    assert images.find_invoice_images(spark, str(tmp_path / "missing")).collect() == []
 
 
 def test_gate_cap_and_numbering(spark):
@@ -108,10 +147,36 @@ def test_index_and_reports_on_disk(spark, tmp_path):
     assert {r["id"]: r["document"] for r in merged.collect()} == {
         "inv_0": "", "inv_1": "new", "inv_2": "", "inv_9": "only",
     }
+    back = {r["id"]: r for r in sinks.read_index(spark, str(tmp_path / "index")).collect()}
+    assert set(back) == {"inv_0", "inv_1", "inv_2"} and list(back["inv_1"].asDict()) == index.columns
     table(spark, rows).write.parquet(str(tmp_path / "invoices"))
     assert tables.read_invoices(spark, str(tmp_path / "invoices")).count() == 3
 
 
+def test_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = spark.range(500).selectExpr("concat('inv_', id) as id", "'old' as document", "id as version")
+    sinks.write_index(rows.drop("version"), path, AuditParams(index_buckets=32))
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "index").rglob("*.parquet")}
+
+    before = files()
+    assert len({f.parent for f in before}) == 32
+    updates = [("inv_7", "first", 1), ("inv_7", "second", 2), ("inv_new", "third", 1)]
+    records = spark.createDataFrame(updates, "id string, document string, version int")
+    sinks.upsert_into(path, sinks.last_per_id(records, "version"))
+    after = files()
+    touched = {f.parent for f in before.keys() - after.keys()}
+    assert 1 <= len(touched) <= 2
+    assert {f: t for f, t in before.items() if f.parent not in touched} == {
+        f: t for f, t in after.items() if f.parent not in touched
+    }
+    want = {f"inv_{i}": "old" for i in range(500)} | {"inv_7": "second", "inv_new": "third"}
+    found = sinks.read_index(spark, path).collect()
+    assert {r["id"]: r["document"] for r in found} == want and len(found) == len(want)
+
+
 def test_summaries(spark):
     reports = spark.createDataFrame([("ok",), ("critical",), ("ok",)], "overall_level string")
     got = {r["overall_level"]: (r["n"], r["share"]) for r in summary.level_counts(reports).collect()}
