@@ -59,9 +59,12 @@ class AuditParams:
     salt_rows: int = 100_000
     # hash slots of keys that are salted alike, which bounds what is broadcast for it
     salt_slots: int = 1 << 18
-    # cells of up to this many rows yield candidate pairs, larger ones are tiled
+    # cells of up to this many rows yield candidate pairs; larger ones are cut by a second
+    # shared term, and what is still larger is tiled
     pair_rows: int = 50
-    # rows per side of one similarity task
+    # rows, and entries of their vectors, per side of one similarity task
     tile_rows: int = 1_000
-    # reference points that split given vectors into cells
-    pivots: int = 64
+    tile_entries: int = 1_000_000
+    # numbers in all the reference vectors that split given vectors into cells: one vector
+    # per ``tile_rows`` rows up to here
+    pivot_numbers: int = 8_000_000

@@ -79,7 +79,7 @@ def test_texts_against_brute_force(spark, path, floor):
 
 
 @pytest.mark.parametrize(
-    "params", [AuditParams(), AuditParams(tile_rows=7, pivots=9), AuditParams(tile_rows=11, pivots=4, hot_min_rows=3, hot_share=0.01)]
+    "params", [AuditParams(), AuditParams(tile_rows=7), AuditParams(tile_rows=2, tile_entries=40), AuditParams(tile_rows=11, hot_min_rows=3, hot_share=0.01, salt_rows=2)]
 )
 @pytest.mark.parametrize("floor", [0.85, 0.3])
 def test_vectors_against_brute_force(spark, params, floor):
@@ -144,3 +144,72 @@ def test_visibility_of_tiers(spark):
 def test_no_texts_at_all(spark):
     rows = [invoice(raw_text=None), invoice(raw_text="  ")]
     assert collected(similarity.similar_texts(table(spark, rows))) == {}
+
+
+def placed_texts(spark, texts, params):
+    """The cells of the first term, and of pairs of terms, of distinct texts."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    vectors = similarity.text_vectors(rows, params)
+    heaviest = F.max("weight").alias("heaviest")
+    first = similarity._cells_with_size(similarity.term_cells(vectors, 0.85), params, heaviest)
+    crowded = first.filter(F.col("rows") > params.pair_rows)
+    return vectors, first, similarity._cells_with_size(similarity.pair_cells(crowded, vectors, 0.85), params)
+
+
+def test_a_second_term_empties_crowded_cells(spark):
+    """Texts over few words crowd every cell of one term; those of two terms stay small."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    texts = list({" ".join(rng.choice(vocabulary) for _ in range(12)) for _ in range(800)})
+    vectors, first, second = placed_texts(spark, texts, AuditParams(pair_rows=20))
+    crowded = first.agg(F.max("rows")).first()[0]
+    assert crowded > 40
+    left = second.agg(F.max("rows")).first()[0]
+    assert (left or 0) <= crowded / 2
+
+
+def test_bounds_pass_few_pairs(spark):
+    """Candidates of ordinary texts are near copies; none of those is missed."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2_000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(20, 200))) for _ in range(400)]
+    texts += [t.replace("w1", "x", 1) for t in texts[:40]]
+    texts = list(dict.fromkeys(texts))
+    params = AuditParams()
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    vectors = similarity.text_vectors(rows, params)
+    placed = similarity._cells_with_size(similarity.term_cells(vectors, 0.85), params, F.max("weight").alias("heaviest"))
+    met = placed.select("cell", "id").join(placed.select("cell", F.col("id").alias("other")), "cell")
+    met = met.filter("id < other").select("id", "other").distinct().count()
+    pairs = {(r.id, r.other) for r in similarity._candidates(placed, 0.85).collect()}
+    ids, product = text_product(texts)
+    near = {(i, j) for i in ids for j in ids if i < j and product(i, j) >= 0.85}
+    assert near <= pairs and len(pairs) <= 2 * len(near) + 5 and len(pairs) <= met
+
+
+@pytest.mark.parametrize("n, tile", [(3_000, 100), (6_000, 100)])
+def test_cells_of_clustered_vectors(spark, n, tile):
+    """Pivots grow with the rows: cells stay near ``tile_rows`` and rows are copied to few."""
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(n // 400, 16))
+    vectors = centres[rng.integers(0, len(centres), n)] + rng.normal(scale=0.02, size=(n, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vector array<double>")
+    placed = similarity.pivot_cells(df, 0.95, AuditParams(tile_rows=tile))
+    figures = similarity.copies_per_row(placed).first()
+    assert figures.cells >= n / tile / 2 and figures.largest_cell <= 6 * tile
+    assert figures.mean_copies <= 8
+
+
+def test_tiles_by_entries(spark):
+    """Long vectors make more tiles; the result is the same."""
+    rng = random.Random(10)
+    base = [f"w{rng.randrange(300)}" for _ in range(600)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i:]]) for i in range(0, 600, 10)]
+    rows = [invoice(raw_text=t, fournisseur="s") for t in texts]
+    want = None
+    for params in (AuditParams(pair_rows=2), AuditParams(pair_rows=2, tile_entries=5_000)):
+        got = collected(similarity.similar_texts(table(spark, rows), params))
+        assert want is None or got == want
+        want = got
+    assert len(want) == len(texts)
