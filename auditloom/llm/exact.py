@@ -27,9 +27,10 @@ from auditloom.llm.text import lowered, texts
 from auditloom.session import materialise, work_folder
 
 # text in an average bucket, and in the largest that is read into one table
-BUCKET_BYTES, MOST_BYTES = 16 << 20, 64 << 20
-# files of one level; further buckets share them
-MOST_FILES = 16_384
+BUCKET_BYTES, MOST_BYTES = 2 << 20, 64 << 20
+# buckets of an average spill file, which evens out the sizes of the files; further buckets
+# share the files of a level
+FILE_BUCKETS, MOST_FILES = 16, 16_384
 # text that a task gathers before it passes its records on
 GATHERED_BYTES = 32 << 20
 # slices in which the records of large buckets combine, level by level
@@ -167,7 +168,7 @@ def _spill(found: DataFrame, level: int, n_bytes: int, bucket_bytes: int) -> tup
     """The records in spill files of their bucket, and the name of the table over the files."""
     spark = found.sparkSession
     buckets = max(1, math.ceil(n_bytes / bucket_bytes))
-    files = min(buckets, MOST_FILES)
+    files = min(math.ceil(buckets / FILE_BUCKETS), MOST_FILES)
     bucket = F.pmod(F.xxhash64("h1", "h2", F.lit(level)), F.lit(buckets))
     name = f"auditloom_spill_{uuid.uuid4().hex}"
     (

@@ -199,7 +199,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     rows = ranked(materialise(leaves(docs)), "source", ["doc_id", "leaf"])
     # the number of a source is its rank among all, found by task and source like the rank
     names = rows.groupBy("source").agg(F.lit(0).alias("all"))
-    sources = ranked(materialise(names), "all", ["source"]).selectExpr("source as _source", "rank as tree")
+    sources = ranked(materialise(names), "all", ["source"]).selectExpr(
+        "source as _source", "rank as tree", "size"
+    )
     here = rows.select("source", "_part").distinct()
     trees = here.join(sources, here["source"].eqNullSafe(sources["_source"]))
     trees = trees.selectExpr("_source", "_part as _own", "tree")
@@ -208,9 +210,9 @@ def manifest(docs: DataFrame) -> DataFrame:
         rows.join(trees, same).select("tree", "rank", "size", "doc_id", "leaf", "tampered")
     )
     subroots, lower = build(numbered.select("tree", "rank", F.col("leaf").alias("digest"), "size"))
-    tops = subroots.select(F.lit(0).cast("long").alias("top"), "tree", "digest", "height")
-    tops = tops.join(sources.agg(F.count(F.lit(1)).alias("size")).withColumn("top", F.lit(0).cast("long")), "top")
-    tops = materialise(tops)
+    # one row per source on both sides
+    tops = subroots.join(sources.select("tree", "size"), "tree")
+    tops = materialise(tops.withColumn("top", F.lit(0).cast("long")))
     root, upper = build(tops.selectExpr("top as tree", "tree as rank", "digest", "size"))
     start = root.select(
         "tree", "digest", "height", F.array().cast(f"array<{_SEGMENT}>").alias("path"), F.col("digest").alias("root")
