@@ -61,7 +61,7 @@ class AuditParams:
     salt_slots: int = 1 << 18
     # cells of up to this many rows yield candidate pairs; larger ones are cut by a second
     # shared term, and what is still larger is tiled
-    pair_rows: int = 50
+    pair_rows: int = 200
     # rows, and entries of their vectors, per side of one similarity task
     tile_rows: int = 1_000
     tile_entries: int = 1_000_000
