@@ -27,10 +27,10 @@ from auditloom.llm.text import lowered, texts
 from auditloom.session import materialise, work_folder
 
 # text in an average bucket, and in the largest that is read into one table
-BUCKET_BYTES, MOST_BYTES = 2 << 20, 64 << 20
+BUCKET_BYTES, MOST_BYTES = 1 << 19, 64 << 20
 # buckets of an average spill file, which evens out the sizes of the files; further buckets
 # share the files of a level
-FILE_BUCKETS, MOST_FILES = 16, 16_384
+FILE_BUCKETS, MOST_FILES = 64, 16_384
 # text that a task gathers before it passes its records on
 GATHERED_BYTES = 32 << 20
 # slices in which the records of large buckets combine, level by level
