@@ -49,9 +49,13 @@ def supplier(text: Column) -> Column:
 def invoice_lines(text: Column, total: Column) -> Column:
     """Lines ending in an amount that is positive and below the largest one."""
     pattern = _spark_pattern(_LINES, fixed.LINE_WITH_AMOUNT)
-    pairs = F.arrays_zip(
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(1)), strip).alias("designation"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(2)), _amount).alias("amount"),
+    # the text is searched once; what was found is short, and matches itself in the same way
+    pairs = F.transform(
+        F.regexp_extract_all(text, pattern, F.lit(0)),
+        lambda hit: F.struct(
+            strip(F.regexp_extract(hit, _LINES + fixed.LINE_WITH_AMOUNT, 1)).alias("designation"),
+            _amount(F.regexp_extract(hit, _LINES + fixed.LINE_WITH_AMOUNT, 2)).alias("amount"),
+        ),
     )
 
     def kept(largest: Column) -> Column:

@@ -359,7 +359,8 @@ def method_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amount_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = summary.amount_histogram(star.invoice_headers(spark, sf_dir), PARAMS)
+    amounts = materialise(star.invoice_headers(spark, sf_dir).select("total_ttc"))
+    bins = summary.amount_histogram(amounts, PARAMS)
     return _long(_round(bins, bin_from=4, bin_to=4), "bin")
 
 
