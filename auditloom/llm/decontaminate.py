@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm.text import unused
 from auditloom.session import materialise
 
 K1, B = 1.2, 0.75
@@ -301,8 +302,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     these, so that other texts under the same doc_id or without one stay.
     """
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(" "), F.col("text")))
-    keyed = docs.withColumn("_key", key)
-    rows = keyed.select(F.col("_key").alias("doc_id"), "text")
+    name = unused("_key", docs.columns)
+    keyed = docs.withColumn(name, key)
+    rows = keyed.select(F.col(name).alias("doc_id"), "text")
     found = _search(rows, benchmark, "string", THRESHOLD, OVERLAP, INDEX_ITEMS)
-    found = materialise(found.select(F.col("doc_id").alias("_key")).distinct())
-    return keyed.join(found, "_key", "left_anti").drop("_key")
+    found = materialise(found.select(F.col("doc_id").alias(name)).distinct())
+    return keyed.join(found, name, "left_anti").drop(name)

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.functions.statistics import let
+from auditloom.llm.text import unused
 from auditloom.session import materialise
 
 # Fixed values of the base rules. For `access` and `hex` the least length is in the
@@ -61,6 +63,39 @@ def _has_access(text: Column) -> Column:
     return F.contains(text, F.lit("AKIA")) & F.rlike(text, F.lit(ACCESS))
 
 
+def _before(values: Column, combine, neutral: Column) -> Column:
+    """For each value, all values before it combined; ``combine`` is associative.
+
+    The array is cut into about as many blocks as a block has values. Results are appended
+    inside the blocks and over their totals only, so that an array of n values costs n times
+    the square root of n steps, not n squared.
+    """
+    side = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+
+    def inside(block: Column) -> Column:
+        start = F.struct(neutral.alias("all"), F.slice(F.array(neutral), 1, 0).alias("out"))
+        return F.aggregate(
+            block,
+            start,
+            lambda state, x: F.struct(
+                combine(state["all"], x).alias("all"), F.array_append(state["out"], state["all"]).alias("out")
+            ),
+        )
+
+    def over(v: Column, n: Column) -> Column:
+        starts = F.when(F.size(v) > 0, F.sequence(F.lit(1), F.size(v), n)).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(starts, lambda i: inside(F.slice(v, i, n)))
+
+        def joined(found: Column) -> Column:
+            ahead = inside(F.transform(found, lambda x: x["all"]))["out"]
+            both = F.zip_with(found, ahead, lambda x, y: F.transform(x["out"], lambda z: combine(y, z)))
+            return F.flatten(both)
+
+        return let(blocks, joined)
+
+    return let(F.struct(values.alias("v"), side.alias("n")), lambda s: over(s["v"], s["n"]))
+
+
 def _spans(text: Column, pattern: str, kind: int, test: Column) -> Column:
     """Spans of all matches, leftmost first and not overlapping; start and end in code points.
 
@@ -68,29 +103,52 @@ def _spans(text: Column, pattern: str, kind: int, test: Column) -> Column:
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    lengths = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(hits)),
+
+    def placed(pieces: Column) -> Column:
+        used = F.transform(pieces, lambda x: F.length(x["gap"]) + F.length(x["hit"]))
+        starts = _before(used, lambda a, b: a + b, F.lit(0))
+        return F.zip_with(
+            pieces,
+            starts,
+            lambda x, at: F.struct(
+                (at + F.length(x["gap"])).alias("start"),
+                F.lit(kind).alias("kind"),
+                (at + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
+                x["hit"].alias("value"),
+            ),
+        )
+
+    pieces = let(
         hits,
-        lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")),
-    )
-    placed = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda state, x: F.struct(
-            (state["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-            F.array_append(
-                state["out"],
-                F.struct(
-                    (state["at"] + x["gap"]).alias("start"),
-                    F.lit(kind).alias("kind"),
-                    (state["at"] + x["gap"] + F.length(x["hit"])).alias("end"),
-                    x["hit"].alias("value"),
-                ),
-            ).alias("out"),
+        lambda h: F.zip_with(
+            F.slice(gaps, F.lit(1), F.size(h)), h, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit"))
         ),
-        lambda state: state["out"],
     )
-    return F.when(test, placed).otherwise(F.array().cast(SPAN))
+    return F.when(test, let(pieces, placed)).otherwise(F.array().cast(SPAN))
+
+
+def _free(base: Column, tokens: Column) -> Column:
+    """The tokens that overlap no base span, by one look ahead and one back in sorted order."""
+    none, far = F.lit(0), F.lit(2**31 - 1)
+    is_base = lambda s: s["kind"] < len(KINDS) - 1
+
+    def kept(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(none))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(is_base(s), s["start"]).otherwise(far))
+        # a base span comes ahead of a token that starts where it does
+        last = _before(ends, lambda a, b: F.greatest(a, b), none)
+        following = F.reverse(_before(starts, lambda a, b: F.least(a, b), far))
+        marked = F.zip_with(
+            spans,
+            F.zip_with(last, following, lambda a, b: F.struct(a.alias("last"), b.alias("next"))),
+            lambda s, n: F.struct(
+                s.alias("s"), (~is_base(s) & (n["last"] <= s["start"]) & (n["next"] >= s["end"])).alias("free")
+            ),
+        )
+        return F.transform(F.filter(marked, lambda m: m["free"]), lambda m: m["s"])
+
+    found = let(F.sort_array(F.concat(base, tokens)), kept)
+    return F.when((F.size(base) > 0) & (F.size(tokens) > 0), found).otherwise(tokens)
 
 
 def _base(text: Column) -> Column:
@@ -100,7 +158,7 @@ def _base(text: Column) -> Column:
         lambda s: F.length(value(s["value"])) >= ASSIGN_LEAST,
     )
     access = _spans(text, ACCESS, 1, _has_access(text))
-    return F.array_sort(F.concat(assign, access, _spans(text, HEX, 2, F.rlike(text, F.lit(HEX)))))
+    return F.sort_array(F.concat(assign, access, _spans(text, HEX, 2, F.rlike(text, F.lit(HEX)))))
 
 
 def _secret_values(base: Column) -> Column:
@@ -192,26 +250,24 @@ def find_secrets(
     Positions are code points with an exclusive end; ``kind`` numbers KINDS. A null text
     counts as empty and has no spans; other columns, null or not, are kept, except that
     columns named ``base`` and ``spans`` are replaced. Every row is judged for itself, so
-    repeated rows give repeated results. Learned spans are tokens of 16 characters or
+    repeated rows give repeated results. Texts of any length are read whole; the work on one
+    grows with its matches times the square root of their number. Learned spans are tokens of 16 characters or
     more, not all digits, that no base span overlaps.
     """
     model = train(docs.select("text")) if model is None else model
-    llr = F.col("_secret_llr")  # one array, evaluated once for the whole query
+    name = unused("_secret_llr", docs.columns)
+    llr = F.col(name)  # one array, evaluated once for the whole query
     text = F.coalesce("text", F.lit(""))
     tokens = F.filter(
         _spans(text, TOKEN, 3, F.rlike(text, F.lit(TOKEN))),
         lambda s: ~F.rlike(s["value"], F.lit("^[0-9]+$")),
     )
-    free = F.filter(
-        tokens,
-        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
-    learned = F.filter(free, lambda t: _score(t["value"], llr) >= threshold)
+    learned = let(tokens, lambda t: F.filter(_free(F.col("base"), t), lambda x: _score(x["value"], llr) >= threshold))
     return (
-        docs.withColumn("_secret_llr", model.select("llr").scalar())
+        docs.withColumn(name, model.select("llr").scalar())
         .withColumn("base", _base(text))
-        .withColumn("spans", F.array_sort(F.concat("base", learned)))
-        .drop("_secret_llr")
+        .withColumn("spans", F.sort_array(F.concat("base", learned)))
+        .drop(name)
     )
 
 
@@ -234,22 +290,24 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(found: DataFrame) -> DataFrame:
     """``found`` with each span of ``text`` replaced by PLACEHOLDER, overlapping ones by one."""
     text = F.col("text")
-    cut = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda state, s: F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= state["at"],
-                F.concat(
-                    state["out"],
-                    F.substring(text, state["at"] + 1, s["start"] - state["at"]),
-                    F.lit(PLACEHOLDER),
-                ),
-            )
-            .otherwise(state["out"])
-            .alias("out"),
-        ),
-        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))),
-    )
-    return found.withColumn("text", F.when(F.size("spans") > 0, cut).otherwise(text))
+
+    def cut(state: Column) -> Column:
+        chars, spans = state["chars"], state["spans"]
+        ends = _before(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+        placed = F.zip_with(spans, ends, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at")))
+        # a span that begins inside an earlier one goes with that
+        first = F.filter(placed, lambda p: p["start"] >= p["at"])
+        pieces = F.transform(
+            first,
+            lambda p: F.concat(
+                F.array_join(F.slice(chars, p["at"] + 1, p["start"] - p["at"]), ""), F.lit(PLACEHOLDER)
+            ),
+        )
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        tail = F.array_join(F.slice(chars, last + 1, F.size(chars)), "")
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    bare = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    replaced = let(F.struct(chars.alias("chars"), bare.alias("spans")), cut)
+    return found.withColumn("text", F.when(F.size("spans") > 0, replaced).otherwise(text))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from auditloom.llm.components import components
-from auditloom.llm.text import texts, words
+from auditloom.llm.text import texts, unused, words
 from auditloom.session import materialise
 
 BITS = 64
@@ -220,14 +220,25 @@ def first_of_group(
     """
     prints = materialise(fingerprints(docs, shingle_words))
     labels = _labels(prints, radius, BUCKET_ROWS)
-    kept = labels.filter("fingerprint = shown").selectExpr("component_id as _id", "fingerprint as _kept")
+    kept = materialise(labels.filter("fingerprint = shown").select("component_id", "fingerprint"))
+    rows_of_id = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    odd = materialise(rows_of_id.filter("n > 1 or doc_id is null").select("doc_id"))
+    names = kept.select(F.col("component_id").alias("doc_id"))
+    # the id alone tells the row, and a null joins nothing
+    single = docs.join(names.join(odd, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns)
+    if odd.isEmpty():
+        return single
+    # ids with several rows: the fingerprint tells which of them it is
+    several = docs.join(odd, docs["doc_id"].eqNullSafe(odd["doc_id"]), "left_semi")
+    name = unused("_print", docs.columns)
 
     def marked(batches):
         for batch in batches:
             found = [fingerprint(t, shingle_words) for t in texts(batch.column("text"))]
             signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*batch.schema.names, "_print"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*batch.schema.names, name])
 
-    rows = docs.mapInArrow(marked, StructType([*docs.schema.fields, StructField("_print", LongType())]))
-    same = (rows["_print"] == kept["_kept"]) & rows["doc_id"].eqNullSafe(kept["_id"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_print"]).drop("_print")
+    rows = several.mapInArrow(marked, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    same = (rows[name] == kept["fingerprint"]) & rows["doc_id"].eqNullSafe(kept["component_id"])
+    found = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    return single.unionByName(found)

@@ -23,3 +23,11 @@ def texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, nulls as None."""
     binary = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(binary).to_pylist()
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -7,8 +7,13 @@ text, so that a term can count only in company. It is trained in one task on at
 shares they have among all labelled rows. Terms of fewer than ``LEAST_TEXTS`` of the sampled
 texts get no weight, whatever the size of the sample. A term counts as much as the sampled
 labels differ with it (log ratio of its shares among either label), so that the many rare
-terms that say nothing do not fit the labels in place of those that do. Scoring is one
-pass without a shuffle.
+terms that say nothing do not fit the labels in place of those that do.
+
+Such a measure cannot see terms that tell nothing alone but something together. So what is
+left to explain after the first training is added up per pair of terms; the terms of pairs
+whose sum is beyond ``LEAST_Z`` deviations, more than chance gives among all pairs, enter a
+second set of weights and factors at full value, which is trained on top. Scoring is one pass
+without a shuffle.
 """
 
 import re
@@ -31,6 +36,13 @@ BATCH = 64
 RATE = 0.3
 # pull of weights and of factors to zero, and the smaller step of the factors
 DECAY, FACTOR_DECAY, FACTOR_STEP = 5e-2, 5e-2, 0.1
+# the second training: epochs, steps, first size of the factors and pull to zero
+PAIR_EPOCHS, PAIR_RATE, PAIR_START, PAIR_DECAY = 12, 0.1, 0.3, 1e-3
+# texts and deviations that make a pair of terms count
+LEAST_PAIRS, LEAST_Z = 8, 6.0
+# texts with more terms are not looked through for pairs, in training only
+PAIR_TERMS = 512
+LOG_PAIRS = 22
 SEED = 42
 _WORD = re.compile(r"[^\W_]+")
 
@@ -44,72 +56,159 @@ def terms(text: str | None) -> np.ndarray:
 
 @dataclass
 class Model:
+    """Weights and factors as they enter the sums, multiplied by what their term counts."""
+
     bias: float
     weights: np.ndarray  # terms
-    factors: np.ndarray  # terms x FACTORS
-    value: np.ndarray  # what a term counts: more the more it tells the labels apart, less for frequent ones
+    factors: np.ndarray  # terms x factors of both trainings
 
     def score(self, at: np.ndarray) -> float:
+        v = self.factors[at]
+        pairs = 0.5 * float((v.sum(axis=0) ** 2).sum() - (v**2).sum())
+        z = self.bias + float(self.weights[at].sum()) + pairs
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+
+class _Part:
+    """Weights and factors of one training, by Adagrad, and what each term counts in it."""
+
+    def __init__(self, value: np.ndarray, start: float, draw: np.random.Generator) -> None:
+        size = len(value)
+        self.value, self.weights = value, np.zeros(size)
+        self.factors = draw.normal(0, start, (size, FACTORS))
+        self.w_past, self.v_past = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2)
+
+    def margins(self, at: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, tuple]:
         x = self.value[at]
         vx = self.factors[at] * x[:, None]
-        pairs = 0.5 * float((vx.sum(axis=0) ** 2).sum() - (vx**2).sum())
-        z = self.bias + float(self.weights[at] @ x) + pairs
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        total = np.add.reduceat(vx, begin)
+        pairs = 0.5 * ((total**2).sum(axis=1) - np.add.reduceat((vx**2).sum(axis=1), begin))
+        return np.add.reduceat(self.weights[at] * x, begin) + pairs, (x, vx, total)
+
+    def step(self, at, lengths, error, seen, rates: tuple[float, float], decays: tuple[float, float]) -> None:
+        x, vx, total = seen
+        per_term = np.repeat(error, lengths) * x
+        used, inverse = np.unique(at, return_inverse=True)
+        g_w = np.bincount(inverse, per_term) + decays[0] * self.weights[used]
+        g_v = np.stack(
+            [
+                np.bincount(inverse, per_term * (np.repeat(total[:, f], lengths) - vx[:, f]))
+                for f in range(FACTORS)
+            ],
+            axis=1,
+        )
+        g_v = np.clip(g_v + decays[1] * self.factors[used], -1, 1)
+        self.w_past[used] += g_w**2
+        self.v_past[used] += g_v**2
+        self.weights[used] -= rates[0] * g_w / np.sqrt(self.w_past[used])
+        self.factors[used] -= rates[1] * g_v / np.sqrt(self.v_past[used])
+
+
+def _batches(rows: list[np.ndarray], order: np.ndarray):
+    """Runs of rows with any term: their numbers, terms, lengths and beginnings."""
+    for start in range(0, len(order), BATCH):
+        batch = [i for i in order[start : start + BATCH] if len(rows[i])]
+        if batch:
+            lengths = np.array([len(rows[i]) for i in batch])
+            yield batch, np.concatenate([rows[i] for i in batch]), lengths, np.cumsum(lengths) - lengths
+
+
+def _chance(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _margins_of_rows(rows: list[np.ndarray], bias: float, part: _Part) -> np.ndarray:
+    found = np.full(len(rows), bias)
+    for batch, at, _, begin in _batches(rows, np.arange(len(rows))):
+        found[batch] += part.margins(at, begin)[0]
+    return found
+
+
+def telling_pairs(rows: list[np.ndarray], left: np.ndarray, variance: np.ndarray) -> np.ndarray:
+    """Pairs of terms, a row each, whose texts have more left to explain than chance gives.
+
+    ``left`` is label minus chance per row. Sums are kept per hash of a pair; pairs whose hash
+    stands out are added up once more by themselves.
+    """
+    size = 1 << LOG_PAIRS
+
+    def pairs():
+        """Terms, hash and row of all pairs, some rows at a time."""
+        gathered, n = [], 0
+        for k, r in enumerate(rows):
+            if 1 < len(r) <= PAIR_TERMS:
+                i, j = np.triu_indices(len(r), 1)
+                gathered.append((r[i], r[j], np.full(len(i), k)))
+                n += len(i)
+            if gathered and (n > 4_000_000 or k == len(rows) - 1):
+                a, b, row = (np.concatenate(c) for c in zip(*gathered))
+                yield a, b, (a.astype(np.int64) * 2_654_435_761 + b.astype(np.int64) * 40_503) % size, row
+                gathered, n = [], 0
+
+    sums, spread, texts = np.zeros(size), np.zeros(size), np.zeros(size)
+    for _, _, at, row in pairs():
+        sums += np.bincount(at, left[row], size)
+        spread += np.bincount(at, variance[row], size)
+        texts += np.bincount(at, minlength=size)
+    loud = (texts >= LEAST_PAIRS) & (np.abs(sums) >= LEAST_Z * np.sqrt(spread))
+    found = [np.zeros((0, 3), dtype=np.int64)]
+    for a, b, at, row in pairs():
+        own = loud[at]
+        found.append(np.stack([a[own], b[own], row[own]], axis=1).astype(np.int64))
+    met = np.concatenate(found)
+    both, inverse, n = np.unique(met[:, :2], axis=0, return_inverse=True, return_counts=True)
+    inverse = inverse.ravel()
+    z = np.abs(np.bincount(inverse, left[met[:, 2]], len(both)))
+    deviation = np.sqrt(np.bincount(inverse, variance[met[:, 2]], len(both)))
+    return both[(n >= LEAST_PAIRS) & (z >= LEAST_Z * deviation)]
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, row_weights: np.ndarray) -> Model:
-    """Train by Adagrad on the logistic loss."""
+    """Train on the logistic loss, then once more on the terms of pairs that tell what is left."""
     size, draw = 1 << LOG_TERMS, np.random.default_rng(SEED)
-    seen = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size)
-    # one for terms in less than a twentieth of the texts, down to zero for terms in all
-    rarity = np.log((1 + len(rows)) / (1 + seen)) / np.log(20)
-    per_row = np.repeat(labels, [len(r) for r in rows]) if rows else None
-    toxic = np.bincount(np.concatenate(rows), per_row, size) if rows else np.zeros(size)
-    among_toxic = (1 + toxic) / (2 + np.sum(labels))
-    among_clean = (1 + seen - toxic) / (2 + len(rows) - np.sum(labels))
-    told = np.abs(np.log(among_toxic / among_clean))
-    value = np.where(seen >= LEAST_TEXTS, np.clip(rarity, 0, 1) * told, 0.0)
     share = np.average(labels, weights=row_weights) if len(rows) else 0.0
     share = min(max(share, 1e-6), 1 - 1e-6)
     bias = float(np.log(share / (1 - share)))
-    weights, factors = np.zeros(size), draw.normal(0, 0.02, (size, FACTORS))
-    w_past, v_past = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2)
     if not len(rows) or labels.min() == labels.max():
-        return Model(bias, weights, factors * 0, value)
-    kept = [r[value[r] > 0] for r in rows]
+        return Model(bias, np.zeros(size), np.zeros((size, 2 * FACTORS)))
+    every = np.concatenate(rows)
+    seen = np.bincount(every, minlength=size)
+    # one for terms in less than a twentieth of the texts, down to zero for terms in all
+    rarity = np.clip(np.log((1 + len(rows)) / (1 + seen)) / np.log(20), 0, 1)
+    toxic = np.bincount(every, np.repeat(labels, [len(r) for r in rows]), size)
+    among_toxic = (1 + toxic) / (2 + np.sum(labels))
+    among_clean = (1 + seen - toxic) / (2 + len(rows) - np.sum(labels))
+    told = np.abs(np.log(among_toxic / among_clean))
+    first = _Part(np.where(seen >= LEAST_TEXTS, rarity * told, 0.0), 0.02, draw)
+    kept = [r[first.value[r] > 0] for r in rows]
     for _ in range(EPOCHS):
-        order = draw.permutation(len(kept))
-        for start in range(0, len(order), BATCH):
-            batch = [i for i in order[start : start + BATCH] if len(kept[i])]
-            if not batch:
-                continue
-            at = np.concatenate([kept[i] for i in batch])
-            lengths = np.array([len(kept[i]) for i in batch])
-            begin = np.cumsum(lengths) - lengths
-            x = value[at]
-            vx = factors[at] * x[:, None]
-            total = np.add.reduceat(vx, begin)
-            pairs = 0.5 * ((total**2).sum(axis=1) - np.add.reduceat((vx**2).sum(axis=1), begin))
-            z = bias + np.add.reduceat(weights[at] * x, begin) + pairs
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            error = (p - labels[batch]) * row_weights[batch]
-            per_term = np.repeat(error, lengths) * x
-            used, inverse = np.unique(at, return_inverse=True)
-            g_w = np.bincount(inverse, per_term) + DECAY * weights[used]
-            g_v = np.stack(
-                [
-                    np.bincount(inverse, per_term * (np.repeat(total[:, f], lengths) - vx[:, f]))
-                    for f in range(FACTORS)
-                ],
-                axis=1,
-            ) + FACTOR_DECAY * factors[used]
-            g_v = np.clip(g_v, -1, 1)
-            w_past[used] += g_w**2
-            v_past[used] += g_v**2
-            weights[used] -= RATE * g_w / np.sqrt(w_past[used])
-            factors[used] -= FACTOR_STEP * RATE * g_v / np.sqrt(v_past[used])
+        for batch, at, lengths, begin in _batches(kept, draw.permutation(len(kept))):
+            z, state = first.margins(at, begin)
+            error = (_chance(bias + z) - labels[batch]) * row_weights[batch]
+            first.step(at, lengths, error, state, (RATE, FACTOR_STEP * RATE), (DECAY, FACTOR_DECAY))
             bias -= 0.01 * float(error.mean())
-    return Model(bias, weights, factors, value)
+    base = _margins_of_rows(kept, 0.0, first)
+    p = _chance(bias + base)
+    told_by_pairs = telling_pairs(
+        [r[(seen[r] >= LEAST_TEXTS) & (rarity[r] > 0)] for r in rows],
+        (labels - p) * row_weights,
+        (p * (1 - p) + 1e-3) * row_weights**2,
+    )
+    value = np.zeros(size)
+    value[np.unique(told_by_pairs)] = 1.0
+    second = _Part(value, PAIR_START, draw)
+    paired = [r[value[r] > 0] for r in rows]
+    for _ in range(PAIR_EPOCHS if len(told_by_pairs) else 0):
+        # rows without such a term hold the bias in place
+        for batch, at, lengths, begin in _batches(paired, draw.permutation(len(paired))):
+            z, state = second.margins(at, begin)
+            error = (_chance(bias + base[batch] + z) - labels[batch]) * row_weights[batch]
+            second.step(at, lengths, error, state, (PAIR_RATE, PAIR_RATE), (PAIR_DECAY, PAIR_DECAY))
+        error = (_chance(bias + base + _margins_of_rows(paired, 0.0, second)) - labels) * row_weights
+        bias -= 0.5 * float(error.mean()) / max(float((row_weights * p * (1 - p)).mean()), 1e-3)
+    weights = first.weights * first.value + second.weights * second.value
+    factors = np.concatenate([first.factors * first.value[:, None], second.factors * value[:, None]], axis=1)
+    return Model(bias, weights, factors)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -138,17 +237,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             np.array([labels[i] for i in order], dtype=float),
             weights / weights.mean() if len(weights) else weights,
         )
-        parts = [np.array([model.bias]), model.weights, model.factors, model.value]
+        parts = [np.array([model.bias]), model.weights, model.factors]
         yield pa.RecordBatch.from_pydict(
-            {"part": pa.array(range(4), pa.int32()), "data": [x.astype("<f8").tobytes() for x in parts]}
+            {"part": pa.array(range(3), pa.int32()), "data": [x.astype("<f8").tobytes() for x in parts]}
         )
 
     labelled = docs.select("doc_id", "text").join(sample, "doc_id")
     extracted = labelled.mapInArrow(extract, "label int, weight double, terms array<int>")
     # one task learns from the bounded sample
     learned = extracted.repartition(1).mapInArrow(learn, "part int, data binary").collect()
-    bias, weights, factors, value = (np.frombuffer(r.data, "<f8") for r in sorted(learned))
-    return Model(float(bias[0]), weights, factors.reshape(-1, FACTORS), value)
+    bias, weights, factors = (np.frombuffer(r.data, "<f8") for r in sorted(learned))
+    return Model(float(bias[0]), weights, factors.reshape(-1, 2 * FACTORS))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -158,7 +257,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     the share of toxic labels. Repeated rows repeat their result, null doc_ids are kept,
     other columns left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^LOG_TERMS x (FACTORS + 2)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^LOG_TERMS x (2 FACTORS + 1)
 
     def rows(batches):
         own = shared.value

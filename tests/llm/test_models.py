@@ -110,13 +110,31 @@ def test_toxicity_of_held_out_texts_in_each_language(spark):
     assert got.predicted[got.toxic == 0].mean() < 0.01
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_pairs_of_terms_that_say_nothing_alone(seed):
+    """Toxic if insult and group mention occur both or neither, among neutral words."""
+    draw, rows, y = np.random.default_rng(seed), [], []
+    for _ in range(4_000):
+        insult, group = draw.integers(0, 2, 2)
+        words = [*(1_000 + draw.choice(300, 10, replace=False)), *[1] * insult, *[2] * group]
+        rows.append(np.unique(np.array(words, dtype=np.int32)))
+        y.append(float(insult == group))
+    y = np.array(y)
+    model = toxicity.fit(rows[:3_000], y[:3_000], np.ones(3_000))
+    right = [(model.score(r) >= 0.5) == label for r, label in zip(rows[3_000:], y[3_000:])]
+    assert np.mean(right) > 0.95
+    # labels by chance: no pair stands out
+    chance = draw.integers(0, 2, 3_000).astype(float)
+    assert len(toxicity.telling_pairs(rows[:3_000], chance - 0.5, np.full(3_000, 0.25))) == 0
+
+
 def test_rare_terms_count_in_samples_of_any_size():
     for n in (400, 4000):
         rows = [np.array([7 + i % 5] + [1] * (i < 4), dtype=np.int32) for i in range(n)]
         rows = [np.unique(r) for r in rows]
         y = (np.arange(n) < 4).astype(float)
         model = toxicity.fit(rows, y, np.ones(n))
-        assert model.value[1] > 0 and model.score(rows[0]) > 2 * model.score(rows[5])
+        assert model.weights[1] > 0 and model.score(rows[0]) > 2 * model.score(rows[5])
 
 
 def test_toxicity_without_labels(spark):

@@ -98,8 +98,12 @@ def test_leaks_of_odd_rows(spark):
     found = decontaminate.find_leaks(cases.messy(spark), benchmark).collect()
     assert sorted(str(r.doc_id) for r in found) == ["7", "7", "8", "9", "None"]
     assert {r.item_id for r in found} == {1}
-    kept = decontaminate.without_leaks(cases.messy(spark), benchmark)
-    assert not {7, 8, 9, None} & {r.doc_id for r in kept.collect()}
+    named = cases.messy(spark).withColumn("_key", F.lit("kept"))
+    kept = decontaminate.without_leaks(named, benchmark)
+    assert kept.columns == named.columns and {r["_key"] for r in kept.collect()} == {"kept"}
+    # of the two rows without id only the one that holds the item goes
+    assert not {7, 8, 9} & {r.doc_id for r in kept.collect()}
+    assert [r.text for r in kept.collect() if r.doc_id is None] == [None]
     assert decontaminate.find_leaks(cases.empty(spark), benchmark).collect() == []
     assert decontaminate.find_leaks(cases.messy(spark), benchmark.limit(0)).collect() == []
 

@@ -1,7 +1,11 @@
 """Secret spans against Python's re, the models, and redaction."""
 
 import hashlib
+import math
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -77,6 +81,8 @@ def test_redaction(spark, model):
 
 
 def test_other_columns_and_empty_table(spark, model):
+    named = cases.messy(spark).selectExpr("*", "doc_id as _secret_llr")
+    assert all(r["_secret_llr"] == r.doc_id for r in secrets.find_secrets(named, model).collect())
     found = secrets.find_secrets(cases.messy(spark), model)
     assert set(found.columns) == {"doc_id", "text", "lang", "source", "n_chars", "score", "base", "spans"}
     assert secrets.digest(secrets.find_secrets(cases.empty(spark))).collect() == []
@@ -86,3 +92,73 @@ def test_no_python_in_the_plan(spark, sf_dir, model):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = secrets.redact(secrets.find_secrets(docs, model))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def values(text):
+    found = []
+    for start, kind, end in base(text):
+        found.append(ASSIGN.match(text, start)[1] if kind == 0 else text[start:end])
+    return found
+
+
+def plain_model(texts):
+    """Log-likelihood ratios from counts in plain Python."""
+    counts = {True: Counter(), False: Counter()}
+    for text in texts:
+        tokens = values(text)
+        learned = bool(tokens)
+        for token in tokens or re.findall("(?<![A-Za-z0-9_-])[A-Za-z][A-Za-z0-9_-]{7,}", text):
+            counts[learned].update(zip(token, token[1:]))
+    size, first = len(secrets.ALPHABET), {k: Counter() for k in counts}
+    for kind, pairs in counts.items():
+        for (a, _), n in pairs.items():
+            first[kind][a] += n
+
+    def share(kind, a, b):
+        return (counts[kind][a, b] + 1) / (first[kind][a] + size)
+
+    return lambda a, b: math.log(share(True, a, b)) - math.log(share(False, a, b))
+
+
+def plain_spans(text, ratio):
+    own = base(text)
+    found = list(own)
+    for m in re.finditer("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", text):
+        token = m[0]
+        if re.fullmatch("[0-9]+", token) or any(a < m.end() and m.start() < e for a, _, e in own):
+            continue
+        if sum(ratio(a, b) for a, b in zip(token, token[1:])) / (len(token) - 1) >= secrets.THRESHOLD:
+            found.append((m.start(), 3, m.end()))
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_learned_spans_by_a_plain_model(spark, sf_dir, model):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ratio = plain_model(texts.values())
+    odd = {10**6 + i: t for i, t in enumerate([*TEXTS, " ".join(RANDOM * 3), "token=" + RANDOM[0] + " " + RANDOM[1]])}
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(odd.items()), "doc_id long, text string"))
+    got = secrets.digest(secrets.find_secrets(rows, model)).collect()
+    for r in got:
+        assert r.spans == plain_spans((texts | odd)[r.doc_id], ratio)
+    assert sum("markov" in r.spans for r in got) > 1
+
+
+def test_very_long_text_with_many_matches(spark, model):
+    """Time grows little faster than the text: 2 MB of tokens and of secrets among them."""
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    pieces = []
+    for i in range(60_000):
+        token = "".join(draw.choices(letters, k=20))
+        pieces.append(f"token={token}" if i % 3 == 0 else token if i % 3 == 1 else "é plain words here")
+    text = " ".join(pieces)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    found = secrets.find_secrets(docs, model)
+    [got] = secrets.digest(found).collect()
+    [clean] = secrets.redact(found).collect()
+    assert time.perf_counter() - began < 90
+    assert got.n_assign == 20_000 and got.spans.count("assign:") == 20_000
+    assert clean.text.count(secrets.PLACEHOLDER) == got.spans.count(",") + 1
+    assert clean.text.count("é plain words here") == 20_000
