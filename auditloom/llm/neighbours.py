@@ -4,8 +4,14 @@ A vector is represented by its nearest pivots in order. The rows are dealt to sh
 each shard posts its vectors in one inverted file per pivot: which vectors have it among
 their first ``PREFIX`` pivots, and at which place. A query reads the files of its own
 first pivots and adds up footrule distances, a pivot missing from a prefix standing at
-the place after its end. The nearest ``SHARE`` of a shard's vectors by footrule are
-ranked again by their inner product, in double precision.
+the place after its end. Places tell the angle, not the length, so vectors are ranked by their
+length times a cosine that few exceed at their footrule distance. The best of a shard's vectors
+are ranked again by their inner product, in double precision.
+
+How many, and which cosine a distance stands for, is measured on a sample of at most
+``SAMPLE_NUMBERS`` numbers: so many that ``REACHED`` of the true neighbours of ``SAMPLE_QUERIES``
+of its vectors are among them. Where places tell little, as for vectors of many dimensions without
+clusters, that is a large part of the shard.
 
 Equal vectors of a shard are posted once with all their ids, so that a crowd of copies
 neither fills the candidates nor lengthens the files. Queries and rows meet in blocks:
@@ -24,9 +30,12 @@ from auditloom.session import materialise
 
 PIVOTS = 512
 PREFIX = 48
-# share and least number of a shard's different vectors that are ranked again
-SHARE = 0.2
+# least number of a shard's different vectors that are ranked again
 LEAST_CANDIDATES = 500
+# sample that tells how many are needed, and the part of true neighbours to be reached there
+SAMPLE_NUMBERS, SAMPLE_QUERIES, REACHED = 1_000_000, 128, 0.97
+# distances are grouped in so many classes to tell their cosines
+CLASSES = 64
 SHARD_ROWS = 8_192
 QUERY_ROWS = 4_096
 NEAREST = 20
@@ -73,7 +82,7 @@ class Shard:
         as_bytes = vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
         _, first, self.of = np.unique(as_bytes, return_index=True, return_inverse=True)
         self.vectors, self.pivot, self.prefix = vectors[first], pivot, min(prefix, len(pivot))
-        self.ids = ids
+        self.ids, self.lengths = ids, np.linalg.norm(self.vectors, axis=1)
         by_vector = np.argsort(self.of, kind="stable")  # ids of one vector stay in order
         self.members, self.bounds = by_vector, np.searchsorted(self.of[by_vector], np.arange(len(first) + 1))
         at = np.ascontiguousarray(places(self.vectors, pivot).T)
@@ -89,10 +98,13 @@ class Shard:
             total[self.posted[p]] -= 2 * (self.prefix - np.maximum(self.at[p], place[p]))
         return total
 
-    def nearest(self, own_id: int, vector: np.ndarray, place: np.ndarray, k: int, take: int):
-        """Ids and scores of the best ``k`` among the ``take`` nearest by footrule."""
-        distance = self.footrule(place)
-        near = np.argpartition(distance, take - 1)[:take] if take < len(distance) else np.arange(len(distance))
+    def nearest(self, own_id: int, vector: np.ndarray, place: np.ndarray, k: int, take: int, cosine):
+        """Ids and scores of the best ``k`` among the ``take`` that footrule and length rank first."""
+        if take < len(self.vectors):
+            expected = self.lengths * np.interp(self.footrule(place), *cosine)
+            near = np.argpartition(-expected, take - 1)[:take]
+        else:
+            near = np.arange(len(self.vectors))
         # each sum is that of one vector alone, so a score does not depend on the others
         scores = (self.vectors[near] * vector).sum(axis=1)
         order = np.argsort(-scores, kind="stable")
@@ -108,6 +120,33 @@ class Shard:
         return [(ids[i], found[i]) for i in order]
 
 
+def measure(ids: np.ndarray, vectors: np.ndarray, pivot: np.ndarray, k: int) -> tuple[float, tuple]:
+    """The share of a shard to rank again, and high cosines at rising footrule distances."""
+    shard = Shard(ids, vectors, pivot, PREFIX)
+    asked = np.linspace(0, len(shard.vectors) - 1, min(SAMPLE_QUERIES, len(shard.vectors))).astype(int)
+    distances = np.array([shard.footrule(p) for p in places(shard.vectors[asked], pivot)])
+    products = shard.vectors[asked] @ shard.vectors.T
+    cosines = products / (shard.lengths[asked][:, None] * shard.lengths[None, :])
+    others = np.arange(len(shard.vectors))[None, :] != asked[:, None]
+    order = np.argsort(distances[others], kind="stable")
+    parts = [p for p in np.array_split(order, CLASSES) if len(p)]
+    if not parts:
+        return 1.0, (np.zeros(1), np.zeros(1))
+    at = np.array([distances[others][p].mean() for p in parts])
+    # a cosine that few exceed: with the mean, great lengths would count for nothing at angles of 90 degrees
+    high = np.array([cosines[others][p].mean() + 2 * cosines[others][p].std() for p in parts])
+    found = []
+    for row, own in enumerate(asked):
+        products[row, own] = -np.inf
+        expected = shard.lengths * np.interp(distances[row], at, high)
+        expected[own] = -np.inf
+        rank = np.empty(len(expected), dtype=np.int64)
+        rank[np.argsort(-expected, kind="stable")] = np.arange(len(expected))
+        found.append(rank[np.argsort(-products[row], kind="stable")[: min(k, len(expected) - 1)]])
+    needed = np.quantile(np.concatenate(found), REACHED) + 1
+    return float(needed / len(shard.vectors)), (at, high)
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1)
@@ -117,7 +156,6 @@ def nearest(
     vectors: DataFrame,
     is_query,
     k: int = NEAREST,
-    share: float = SHARE,
     shard_rows: int = SHARD_ROWS,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
@@ -134,17 +172,21 @@ def nearest(
     schema = "query_id long, vec_id long, score double"
     if not queries:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shared = rows.sparkSession.sparkContext.broadcast(pivots(rows))
+    pivot = pivots(rows)
+    sample_rows = max(1, min(shard_rows, SAMPLE_NUMBERS // pivot.shape[1]))
+    sample = rows.orderBy(F.xxhash64("vec_id", "v", F.lit("sample"))).limit(sample_rows).collect()
+    share, cosine = measure(np.array([r.vec_id for r in sample]), np.array([r.v for r in sample]), pivot, k)
+    shared = rows.sparkSession.sparkContext.broadcast((pivot, share, cosine))
 
     def search(key, data: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
         if len(data) and len(asked):
-            pivot = shared.value
+            pivot, share, cosine = shared.value
             shard = Shard(data["vec_id"].to_numpy(), _matrix(data["v"]), pivot, PREFIX)
             take = max(LEAST_CANDIDATES, int(np.ceil(share * len(shard.vectors))))
             ids, query = asked["vec_id"].to_pylist(), _matrix(asked["v"])
             for own, vector, place in zip(ids, query, places(query, pivot)):
-                out += [(own, *x) for x in shard.nearest(own, vector, place, k, take)]
+                out += [(own, *x) for x in shard.nearest(own, vector, place, k, take, cosine)]
         columns = list(zip(*out)) if out else [[]] * 3
         kinds = (pa.int64(), pa.int64(), pa.float64())
         return pa.Table.from_arrays(

@@ -140,6 +140,38 @@ def test_recall_of_the_whole_table(spark, sf_dir):
     assert np.mean(hits) >= 0.9
 
 
+def kinds_of_vectors(kind):
+    draw = np.random.default_rng(3)
+    if kind == "clusters":
+        return draw.normal(size=(40, 32))[draw.integers(0, 40, 6_000)] + 0.3 * draw.normal(size=(6_000, 32))
+    vectors = draw.normal(size=(6_000, 256 if kind == "256 dimensions" else 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    return vectors * np.exp(0.5 * draw.normal(size=(6_000, 1))) if kind == "lengths" else vectors
+
+
+@pytest.mark.parametrize("kind", ["lengths", "256 dimensions", "clusters", "directions"])
+def test_recall_on_other_vectors(kind):
+    """Shards as the query makes them, asked for the neighbours of a twentieth of the rows."""
+    vectors, ids = kinds_of_vectors(kind), np.arange(6_000)
+    pivot = vectors[:: 6_000 // neighbours.PIVOTS][: neighbours.PIVOTS]
+    pivot = pivot / np.linalg.norm(pivot, axis=1, keepdims=True)
+    share, cosine = neighbours.measure(ids[::2], vectors[::2], pivot, 20)
+    shards = [neighbours.Shard(ids[i::3], vectors[i::3], pivot, neighbours.PREFIX) for i in range(3)]
+    hits = []
+    for q in range(0, 6_000, 20):
+        [place] = neighbours.places(vectors[[q]], pivot)
+        found = []
+        for shard in shards:
+            take = int(np.ceil(share * len(shard.vectors)))
+            found += shard.nearest(q, vectors[q], place, 20, take, cosine)
+        mine = {i for i, _ in sorted(found, key=lambda x: (-x[1], x[0]))[:20]}
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits.append(len(mine & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.93
+    print(kind, round(share, 3), round(float(np.mean(hits)), 3))
+
+
 def test_exact_where_all_are_candidates_and_with_odd_rows(spark):
     draw = np.random.default_rng(2)
     vectors = [list(map(float, draw.normal(size=5))) for _ in range(30)]
