@@ -1,13 +1,14 @@
 """Licence scan: MinHash bands over overlapping windows, then exact containment.
 
 Everything is a DataFrame expression on one row. For each number m of shingles that a
-template has, the shingles of a text are cut into windows of 2m that overlap by m, so any
-m shingles in a row lie in one window. A window's signature is the smallest hash under
-each of ``bands`` hash functions; a template is retrieved if it agrees in any of them.
-A window that holds the share ``CONTAINMENT`` of a template's shingles has a Jaccard
-similarity of at least c / (3 - c) with it, and ``bands`` is chosen so that such a pair is
-retrieved with a probability of at least ``COLLISION``. What is retrieved is verified by
-the exact share of the template's shingles in the window.
+template has, the shingles of a text are cut into windows of 3m, one beginning every m, so
+any 2m shingles in a row lie in one window. A window's signature is the smallest hash under
+each of ``bands`` hash functions, taken from the blocks of m that it is made of; a template is
+retrieved if it agrees in any of them. A window that holds the share ``CONTAINMENT`` of a
+template's shingles has a Jaccard similarity of at least c / (4 - c) with it, and ``bands`` is
+chosen so that such a pair is retrieved with a probability of at least ``COLLISION``. What is
+retrieved is verified exactly: a template is found if any 2m shingles in a row, wherever they
+begin, hold that share of its shingles. So an edited notice is found alike at any place.
 
 A match may lack only a few of a template's shingles. So of any group of more than that
 many it needs one, hence the longest word of one; texts that fail this for every template
@@ -27,12 +28,13 @@ from auditloom.session import materialise
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
 COLLISION = 0.9999
+MOST_TEMPLATES = 500
 _SEPARATORS = "[^a-z0-9]+"
 
 
 def bands(containment: float = CONTAINMENT, collision: float = COLLISION) -> int:
     """How many one-row bands retrieve a matching window with the wanted probability."""
-    jaccard = containment / (3 - containment)
+    jaccard = containment / (4 - containment)
     return math.ceil(math.log(1 - collision) / math.log(1 - jaccard))
 
 
@@ -76,32 +78,63 @@ def _let(value: Column, body) -> Column:
 
 
 def _windows(hashed: Column, m: int) -> Column:
-    """Start and signature of each window of 2m of the shingles ``s``."""
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("s") - m - 1), F.lit(m))
-    return F.transform(
-        starts,
-        lambda at: F.struct(
-            at.alias("at"),
-            F.transform(hashed, lambda own: F.array_min(F.slice(own, at + 1, 2 * m))).alias("mins"),
+    """Start and signature of each window of 3m of the shingles ``s``."""
+    blocks = F.transform(
+        hashed,
+        lambda own: F.transform(
+            F.sequence(F.lit(0), F.size(own) - 1, F.lit(m)), lambda at: F.array_min(F.slice(own, at + 1, m))
+        ),
+    )
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("s") - 2 * m - 1), F.lit(m))
+    return _let(
+        blocks,
+        lambda found: F.transform(
+            starts,
+            lambda at: F.struct(
+                at.alias("at"),
+                F.transform(
+                    found, lambda own: F.array_min(F.slice(own, (at / m).cast("int") + 1, 3))
+                ).alias("mins"),
+            ),
         ),
     )
 
 
 def _best(windows: Column, own: list[str], signature: list[int], containment: float) -> Column:
-    """Share and negative start of the best retrieved window that holds enough of ``own``."""
+    """Share and negative start of the best run of 2m shingles that holds enough of ``own``."""
     wanted, parts, m = F.lit(signature), F.lit(own), len(own)
     retrieved = F.filter(
         windows,
         lambda w: F.exists(F.zip_with(w["mins"], wanted, lambda a, b: a == b), lambda same: same),
     )
-    shares = F.transform(
+
+    def shares(w: Column) -> Column:
+        last = F.greatest(w["at"], F.least(w["at"] + m, F.size("s") - 2 * m))
+        return F.transform(
+            F.sequence(w["at"], last),
+            lambda at: F.struct(
+                (F.size(F.array_intersect(F.slice("s", at + 1, 2 * m), parts)) / F.lit(m)).alias("share"),
+                (-at).alias("back"),
+            ),
+        )
+
+    # the runs of a window are looked at only if the whole window holds enough
+    full = F.filter(
         retrieved,
-        lambda w: F.struct(
-            (F.size(F.array_intersect(F.slice("s", w["at"] + 1, 2 * m), parts)) / F.lit(m)).alias("share"),
-            (-w["at"]).alias("back"),
-        ),
+        lambda w: F.size(F.array_intersect(F.slice("s", w["at"] + 1, 3 * m), parts)) / F.lit(m) >= containment,
     )
-    return F.array_max(F.filter(shares, lambda x: x["share"] >= containment))
+    return F.array_max(F.filter(F.flatten(F.transform(full, shares)), lambda x: x["share"] >= containment))
+
+
+def templates_of(table: DataFrame) -> dict[str, str]:
+    """Templates from a table with ``license`` and ``text``, at most ``MOST_TEMPLATES`` rows of it.
+
+    Nulls are passed over, repeated names are refused.
+    """
+    rows = table.select("license", "text").dropna().limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES or len({r.license for r in rows}) < len(rows):
+        raise ValueError(f"needs up to {MOST_TEMPLATES} templates with different names")
+    return {r.license: r.text for r in rows}
 
 
 def find_licenses(
@@ -110,8 +143,9 @@ def find_licenses(
     """One row per document and template found: ``doc_id``, ``license``, ``containment``, ``start``.
 
     ``start`` counts the words (runs of a-z and 0-9 after lower-casing) before the best
-    window, the first of equal ones. Null and empty texts and those of fewer than
-    SHINGLE_WORDS words hold nothing, and templates that short are not looked for. Each
+    run of shingles, the first of equal ones. Null and empty texts and those of fewer than
+    SHINGLE_WORDS words hold nothing, and templates that short are not looked for. Texts of
+    any length are read whole, their shingles as one array of the row. Each
     row is judged for itself: repeated rows repeat their result, null doc_ids are kept,
     other columns are left out.
     """
@@ -162,7 +196,7 @@ def find_licenses(
 
 
 def sql() -> str:
-    """The same in SQL: exact containment in every window of every text."""
+    """The same in SQL: exact containment in every run of shingles of every text."""
     shingles = {k: s for k, v in sorted(TEMPLATES.items()) if (s := template_shingles(v))}
     values = ", ".join(f"('{k}', {len(s)}, {s!r})" for k, s in shingles.items())
     return f"""
@@ -177,7 +211,7 @@ s AS (
     FROM w WHERE len(w) >= {SHINGLE_WORDS}
 ),
 h AS (SELECT doc_id, license, m, parts, s FROM s JOIN t ON list_has_any(s, parts)),
-x AS (SELECT *, unnest(range(0, greatest(0, len(s) - m - 1) + 1, m)) AS start FROM h),
+x AS (SELECT *, unnest(range(0, greatest(0, len(s) - 2 * m) + 1)) AS start FROM h),
 c AS (
     SELECT doc_id, license, start,
         len(list_intersect(list_distinct(s[start + 1:start + 2 * m]), parts)) / m AS containment
