@@ -49,7 +49,7 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the word sequences that start more than once."""
-    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

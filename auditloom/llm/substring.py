@@ -82,11 +82,10 @@ class Hasher:
         return w, np.fromiter(map(digest, w), dtype=np.uint64, count=len(w))
 
     def runs(self, hashes: np.ndarray, length: int, which: int) -> np.ndarray:
-        """One of two independent hashes of each run of ``length`` words."""
+        """The hash of each run of ``length`` words, by one of two multipliers."""
         n = len(hashes) - length + 1
         up, down = self._powers.up_to(len(hashes))[which]
-        mixed = hashes if which == 0 else _mixed(hashes + np.uint64(1))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * up, dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
         return _mixed((sums[length:] - sums[:n]) * down[:n])
 
     def anchors(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,8 +218,11 @@ class _Filter:
         counts = self._packed[cells >> 2] >> (2 * (cells & 3)).astype(np.uint8) & 3
         return np.repeat((counts >= 2).all(axis=0), np.diff(np.append(first, len(least))))
 
-    def window_keys(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(self.hasher.runs(hashes, self._window, i)[at].view(np.int64) for i in (0, 1))
+    def window_keys(self, w: list[bytes], hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each window at ``at``, from two hashes of its words that share nothing."""
+        other = np.fromiter(map(xxhash.xxh64_intdigest, w), dtype=np.uint64, count=len(w))
+        both = enumerate((hashes, other))
+        return tuple(self.hasher.runs(h, self._window, i)[at].view(np.int64) for i, h in both)
 
 
 def _load(docs: DataFrame, window: int) -> _Filter:
@@ -250,7 +252,7 @@ def _single_windows(docs: DataFrame, shared: _Filter) -> DataFrame:
                     continue
                 at = np.flatnonzero(shared.repeated(hashes))
                 if len(at):
-                    one, two = shared.window_keys(hashes, at)
+                    one, two = shared.window_keys(w, hashes, at)
                     t1, t2 = _text_key(text)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -279,10 +281,11 @@ def _kept(w: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
     return [x for x, gone in zip(w, covered.tolist()) if not gone]
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept`` of each row.
 
-    ``kept`` is the text left, words joined by one space. Words are runs of characters
+    ``kept`` is the text left, words joined by one space; it is left out unless ``with_text``.
+    Words are runs of characters
     other than space and \\x09-\\x0D; null and blank texts have none and nothing is removed
     from texts shorter than a window. Repeated rows repeat each other's windows, whatever
     their doc_id; a null doc_id is kept. Equality of windows and texts is that of 128-bit
@@ -292,16 +295,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     single = materialise(_single_windows(docs, shared))
 
     def result(rows):
-        columns = list(zip(*rows)) if rows else [[]] * 5
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: 5 if with_text else 4]
+        columns = list(zip(*rows)) if rows else [[]] * len(names)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
-        )
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for _, c, k in zip(names, columns, kinds)], names)
 
     def row(doc_id, w, kept):
         left = b" ".join(kept)
-        return doc_id, len(w), len(w) - len(kept), hashlib.sha256(left).hexdigest(), left
+        counts = (doc_id, len(w), len(w) - len(kept), hashlib.sha256(left).hexdigest())
+        return (*counts, left) if with_text else counts
 
     def untouched(batches):
         shared.start()
@@ -339,13 +341,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield result(out)
 
     source, schema = docs.select("doc_id", "text"), (
-        "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"
+        "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept binary" if with_text else "")
     )
     met = source.mapInArrow(touched, "doc_id long, text binary, t1 long, t2 long").join(
         single, ["t1", "t2"], "left"
     )
     found = source.mapInArrow(untouched, schema).unionByName(met.select(*_CUT).mapInArrow(cut, schema))
-    return found.withColumn("kept", F.col("kept").cast("string"))
+    return found.withColumn("kept", F.col("kept").cast("string")) if with_text else found
 
 
 _CUT = ("doc_id", "text", "single")
