@@ -12,9 +12,12 @@ Items found are verified: of the question's five-word shingles and of the answer
 a share of ``OVERLAP`` or more must be in the passage. Where the items have no ``answer``
 column, the last sentence of an item of several is its answer, the rest its question.
 
-Passages overlap by half and are twice as long as the longest item of their index, so an
-item lies whole in one of them. Items are dealt to indexes of ``INDEX_ITEMS`` each, which
-bounds what a task holds; word statistics are those of all items.
+Passages overlap by half and are at least twice as long as any item of their index, so an
+item lies whole in one of them. Items of similar length (a factor of two) share indexes, so that
+a long item changes nothing for short ones. An index holds up to ``INDEX_ITEMS`` items and about
+``INDEX_WORDS`` words, and a pass over the documents searches as many indexes as ``PASS_BYTES``
+hold, which bounds what a task holds; word statistics are those of all items. Documents of any
+length are read whole.
 """
 
 import re
@@ -37,7 +40,9 @@ OVERLAP = 0.8
 SHINGLE_WORDS = 5
 LEAST_PASSAGE = 128
 BLOCK_ITEMS = 8
-INDEX_ITEMS = 2_000
+# items and words of items in one index, and bytes of the indexes that one pass searches
+INDEX_ITEMS, INDEX_WORDS = 2_000, 100_000
+PASS_BYTES = 128 << 20
 # words of documents handled together, and floats of block sums
 CHUNK_WORDS, CHUNK_SUMS = 200_000, 4_000_000
 _WORD = re.compile(r"\w+")
@@ -77,14 +82,15 @@ class Index:
     passage: int  # words
 
     @staticmethod
-    def build(rows: list[tuple], document_counts: dict[str, int], items: int, mean_length: float) -> "Index":
-        """``rows``: item id, question and answer; the rest are statistics of all items."""
+    def build(
+        rows: list[tuple], document_counts: dict[str, int], items: int, mean_length: float, passage: int = LEAST_PASSAGE
+    ) -> "Index":
+        """``rows``: item id, question and answer; counts and mean are those of all items."""
         rows = sorted(rows)
         texts = [(tokens(q), tokens(a)) for _, q, a in rows]
-        postings, longest = defaultdict(list), 1
+        postings = defaultdict(list)
         for n, (question, answer) in enumerate(texts):
             whole = question + answer
-            longest = max(longest, len(whole))
             norm = K1 * (1 - B + B * len(whole) / mean_length)
             impact = {
                 w: np.log1p((items - document_counts[w] + 0.5) / (document_counts[w] + 0.5)) * tf * (K1 + 1) / (tf + norm)
@@ -112,7 +118,7 @@ class Index:
             impacts,
             [shingles(q) for q, _ in texts],
             [a for _, a in texts],
-            max(LEAST_PASSAGE, 2 * longest),
+            passage,
         )
 
     def search(self, texts: list[list[str]], threshold: float) -> list[tuple[int, int, int, float]]:
@@ -188,7 +194,10 @@ def _ranges(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``question`` and ``answer`` of the items that have a word."""
+    """``item_id``, ``question``, ``answer``, words ``n`` and class of length ``size`` of items that have a word.
+
+    Two times the words of an item of class c are at most ``LEAST_PASSAGE`` times 2 to the c.
+    """
     has_answer = "answer" in benchmark.columns
 
     def rows(batches):
@@ -196,16 +205,20 @@ def _items(benchmark: DataFrame) -> DataFrame:
             texts = batch.column("text").to_pylist()
             answers = batch.column("answer").to_pylist() if has_answer else None
             parts = [(t or "", a or "") for t, a in zip(texts, answers)] if answers else map(split_item, texts)
-            kept = [(i, q, a) for i, (q, a) in zip(batch.column("item_id").to_pylist(), parts) if tokens(q + " " + a)]
-            columns = list(zip(*kept)) if kept else [[]] * 3
+            named = zip(batch.column("item_id").to_pylist(), parts)
+            counted = [(i, q, a, len(tokens(q) + tokens(a))) for i, (q, a) in named]
+            # the class of an item follows from its length alone
+            kept = [(*row, max(0, (2 * row[3] - 1) // LEAST_PASSAGE).bit_length()) for row in counted if row[3]]
+            columns = list(zip(*kept)) if kept else [[]] * 5
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()))],
-                ["item_id", "question", "answer"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["item_id", "question", "answer", "n", "size"]
             )
 
     columns = ["item_id", "text"] + ["answer"] * has_answer
     named = benchmark.filter("item_id is not null").select(*columns)
-    return named.mapInArrow(rows, "item_id long, question string, answer string").distinct()
+    schema = "item_id long, question string, answer string, n long, size int"
+    return named.mapInArrow(rows, schema).distinct()
 
 
 def _indexes(benchmark: DataFrame, index_items: int):
@@ -218,23 +231,36 @@ def _indexes(benchmark: DataFrame, index_items: int):
             found = [w for q, a in texts for w in set(tokens(q) + tokens(a))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["word"])
 
-    def measure(batches):
-        for batch in batches:
-            texts = zip(batch.column("question").to_pylist(), batch.column("answer").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([len(tokens(q) + tokens(a)) for q, a in texts])], ["n"])
-
-    total, mean = items.mapInArrow(measure, "n long").agg(F.count("n"), F.avg("n")).first()
+    total, mean = items.agg(F.count("n"), F.avg("n")).first()
     counts = materialise(
         items.mapInArrow(count, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
-    for shard in range(-(-total // index_items)):
-        dealt = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(-(-total // index_items))) == shard)
-        rows = [tuple(r) for r in dealt.collect()]  # about index_items
-        if not rows:
-            continue
-        own = dealt.mapInArrow(count, "word string").distinct()
-        known = {r.word: r.n for r in counts.join(own, "word").collect()}
-        yield Index.build(rows, known, total, mean)
+    sizes = items.groupBy("size").agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("words"))
+    for kind in sizes.orderBy("size").collect():  # a row per doubling of the length
+        shards = max(-(-kind["items"] // index_items), -(-kind["words"] // INDEX_WORDS))
+        for shard in range(shards):
+            of_shard = F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard
+            dealt = items.filter((F.col("size") == kind["size"]) & of_shard)
+            rows = [tuple(r) for r in dealt.select("item_id", "question", "answer").collect()]  # about index_items
+            if not rows:
+                continue
+            own = dealt.mapInArrow(count, "word string").distinct()
+            known = {r.word: r.n for r in counts.join(own, "word").collect()}
+            yield Index.build(rows, known, total, mean, LEAST_PASSAGE << kind["size"])
+
+
+def _passes(indexes, most_bytes: int):
+    """The indexes in groups that one pass over the documents searches together."""
+    group, size = [], 0
+    for index in indexes:
+        own = index.block_max.nbytes + index.items.nbytes + index.impacts.nbytes
+        if group and size + own > most_bytes:
+            yield group
+            group, size = [], 0
+        group.append(index)
+        size += own
+    if group:
+        yield group
 
 
 def find_leaks(
@@ -263,8 +289,9 @@ def _search(
     source = docs.select("doc_id", "text").filter("text is not null")
     schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double, start long"
     result = spark.createDataFrame([], schema)
-    for index in _indexes(benchmark, index_items):
-        shared = spark.sparkContext.broadcast(index)  # bounded by index_items
+    for indexes in _passes(_indexes(benchmark, index_items), PASS_BYTES):
+        # bounded by PASS_BYTES, or by one index of index_items items and INDEX_WORDS words
+        shared = spark.sparkContext.broadcast(indexes)
 
         def rows(batches, shared=shared):
             for batch in batches:
@@ -274,9 +301,11 @@ def _search(
                     texts.append(tokens(text))
                     size += len(texts[-1])
                     if size >= CHUNK_WORDS:
-                        yield _verified(shared.value, ids, texts, threshold, overlap, kind)
+                        for index in shared.value:
+                            yield _verified(index, ids, texts, threshold, overlap, kind)
                         ids, texts, size = [], [], 0
-                yield _verified(shared.value, ids, texts, threshold, overlap, kind)
+                for index in shared.value:
+                    yield _verified(index, ids, texts, threshold, overlap, kind)
 
         result = result.unionByName(source.mapInArrow(rows, schema))
     return result

@@ -40,8 +40,8 @@ DECAY, FACTOR_DECAY, FACTOR_STEP = 5e-2, 5e-2, 0.1
 PAIR_EPOCHS, PAIR_RATE, PAIR_START, PAIR_DECAY = 12, 0.1, 0.3, 1e-3
 # texts and deviations that make a pair of terms count
 LEAST_PAIRS, LEAST_Z = 8, 6.0
-# texts with more terms are not looked through for pairs, in training only
-PAIR_TERMS = 512
+# pairs that are looked at, in texts of the sample drawn by chance, and terms of such a text
+MOST_PAIRS, PAIR_TERMS = 60_000_000, 2_048
 LOG_PAIRS = 22
 SEED = 42
 _WORD = re.compile(r"[^\W_]+")
@@ -131,16 +131,20 @@ def telling_pairs(rows: list[np.ndarray], left: np.ndarray, variance: np.ndarray
     stands out are added up once more by themselves.
     """
     size = 1 << LOG_PAIRS
+    n_pairs = np.array([len(r) * (len(r) - 1) // 2 if len(r) <= PAIR_TERMS else 0 for r in rows])
+    order = np.random.default_rng(SEED).permutation(len(rows))
+    taken = order[np.cumsum(n_pairs[order]) <= MOST_PAIRS]
+    taken = np.sort(taken[n_pairs[taken] > 0]).tolist()
 
     def pairs():
         """Terms, hash and row of all pairs, some rows at a time."""
         gathered, n = [], 0
-        for k, r in enumerate(rows):
-            if 1 < len(r) <= PAIR_TERMS:
-                i, j = np.triu_indices(len(r), 1)
-                gathered.append((r[i], r[j], np.full(len(i), k)))
-                n += len(i)
-            if gathered and (n > 4_000_000 or k == len(rows) - 1):
+        for k in taken:
+            r = rows[k]
+            i, j = np.triu_indices(len(r), 1)
+            gathered.append((r[i], r[j], np.full(len(i), k)))
+            n += len(i)
+            if n > 4_000_000 or k == taken[-1]:
                 a, b, row = (np.concatenate(c) for c in zip(*gathered))
                 yield a, b, (a.astype(np.int64) * 2_654_435_761 + b.astype(np.int64) * 40_503) % size, row
                 gathered, n = [], 0

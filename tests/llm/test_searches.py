@@ -79,6 +79,23 @@ def test_leaks_of_the_whole_table(spark, sf_dir, index_items):
     assert {(r.doc_id, r.item_id) for r in found} == want
 
 
+def test_a_long_item_changes_nothing_for_short_ones(spark, sf_dir):
+    """One more item, of 3,000 words: the rows of the others stay, and it is found itself."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    long = cases.sentence(random.Random(6), 3_000)
+    more = benchmark.unionByName(spark.createDataFrame([(-1, long)], "item_id long, text string"))
+    holder = spark.createDataFrame([(10**9, f"ahead of it {long} and behind")], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(holder)
+    place = lambda found: {(r.doc_id, r.item_id, r.start) for r in found.collect()}
+    before, after = place(decontaminate.find_leaks(rows, benchmark)), place(decontaminate.find_leaks(rows, more))
+    assert {(d, i) for d, i, _ in after - before} == {(10**9, -1)} and before <= after
+    indexes = list(decontaminate._indexes(more, 2_000))
+    assert len({index.passage for index in indexes}) == len(indexes) > 1
+    assert [len(g) for g in decontaminate._passes(iter(indexes), 1)] == [1] * len(indexes)
+    assert [len(g) for g in decontaminate._passes(iter(indexes), 1 << 30)] == [len(indexes)]
+
+
 def test_search_misses_no_score(spark):
     draw = np.random.default_rng(0)
     vocabulary = [f"w{i}" for i in range(120)]
