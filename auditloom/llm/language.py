@@ -214,7 +214,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known and not ambiguous."""
+    """The rows of ``docs``, all columns, whose language is known and not ambiguous.
+
+    Null and empty texts and those without a letter go; long ones are judged whole. Rows
+    are judged by their text alone, so that nulls elsewhere, repeated rows and further columns
+    change nothing, and an empty table gives one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 

@@ -248,7 +248,9 @@ def pack(docs: DataFrame, limits: Limits = Limits(), cut: bool = True, prompt: s
     has one id at least, and empty tables give no pieces. ``prompt`` names a column whose
     text stands before the document and bears no loss; null prompts are empty. Rows with a
     null or repeated doc_id are packed like any other. Without ``cut`` an example larger
-    than a sequence gets one of its own. Other columns are not looked at.
+    than a sequence gets one of its own. A text of any length is encoded whole and cut into as
+    many pieces as it needs; among examples that fit a sequence equally well the one read first
+    goes in. Other columns, whatever their names, are not looked at.
     """
 
     def rows(batches):
