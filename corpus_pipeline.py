@@ -1,7 +1,11 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage is called with all documents that the stage before has kept, and returns the
-columns of documents; the last returns the pieces of the packed sequences.
+columns of documents; the last returns the pieces of the packed sequences. Further columns of
+its input are left out. Every stage takes an empty table (and returns one), texts of any length
+and nulls in any column: a document with a null text goes at the first stage, and is
+packed as a single end id where a later stage gets one; null doc_ids are no error anywhere, and
+rows without one are told apart by their text. Repeated rows are copies: near-dedup leaves one.
 """
 
 from pyspark.sql import DataFrame, SparkSession
