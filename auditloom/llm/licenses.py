@@ -153,18 +153,27 @@ def find_licenses(
     shingles = {k: s for k, v in sorted(templates.items()) if (s := template_shingles(v))}
     signatures = _signatures(docs.sparkSession, shingles, hashes)
     low = F.lower("text")
-    hinted = docs.filter(reduce(Column.__or__, [_possible(low, own, containment) for own in shingles.values()]))
+    by_size: dict[int, list[str]] = {}
+    for name, own in shingles.items():
+        by_size.setdefault(len(own), []).append(name)
+    # per number of shingles whether a template of that many can match at all
+    possible = [
+        reduce(Column.__or__, [_possible(low, shingles[name], containment) for name in by_size[m]]) for m in sorted(by_size)
+    ]
+    hinted = docs.filter(reduce(Column.__or__, possible)).select("doc_id", "text", F.array(*possible).alias("possible"))
     words = F.filter(F.split(low, _SEPARATORS), lambda w: w != "")
     n = SHINGLE_WORDS
     cut = F.transform(
         F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.array_join(F.slice("words", i, n), " ")
     )
-    by_size: dict[int, list[str]] = {}
-    for name, own in shingles.items():
-        by_size.setdefault(len(own), []).append(name)
-
     def matches(hashed: Column) -> Column:
-        return F.concat(*[_let(_windows(hashed, m), per_size(m)) for m in sorted(by_size)])
+        found = F.array().cast("array<struct<license:string,best:struct<share:double,back:int>>>")
+        return F.concat(
+            *[
+                F.when(F.col("possible")[i], _let(_windows(hashed, m), per_size(m))).otherwise(found)
+                for i, m in enumerate(sorted(by_size))
+            ]
+        )
 
     def per_size(m: int):
         return lambda windows: of_size(windows, m)
@@ -179,14 +188,15 @@ def find_licenses(
 
     # written, so that the shingles are made once for their many uses
     texts = materialise(
-        hinted.select("doc_id", words.alias("words"))
+        hinted.select("doc_id", words.alias("words"), "possible")
         .filter(F.size("words") >= n)
-        .select("doc_id", cut.alias("s"))
+        .select("doc_id", cut.alias("s"), "possible")
     )
     # few bytes but much work each: one shuffle spreads them over all tasks
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = F.array(*[_hashed(F.col("s"), p) for p in range(hashes)])
-    found = texts.repartition(tasks).select("doc_id", F.explode(_let(hashed, matches)).alias("m")).filter("m.best is not null")
+    spread = texts.repartition(tasks)
+    found = spread.select("doc_id", F.explode(_let(hashed, matches)).alias("m")).filter("m.best is not null")
     return found.select(
         "doc_id",
         "m.license",
