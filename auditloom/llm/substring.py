@@ -38,7 +38,7 @@ BLOCK = 1 << 16
 # counters per expected anchor, and characters of text per anchor
 PER_ANCHOR, CHARS_PER_ANCHOR = 2, 50
 # counters that a task gathers before it counts them
-_GATHERED = 4_000_000
+_GATHERED = 2_000_000
 # multipliers of the window hashes; odd, so that they can be inverted
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = 0xFF51AFD7ED558CCD
