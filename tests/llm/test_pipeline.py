@@ -98,5 +98,5 @@ def test_odd_and_empty_tables(spark, tmp_path):
 
 def test_queries_are_registered():
     registered = entry_point.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(registered)
