@@ -213,3 +213,22 @@ def test_tiles_by_entries(spark):
         assert want is None or got == want
         want = got
     assert len(want) == len(texts)
+
+
+def test_spread_out_vectors_are_in_one_block_each(spark):
+    """Where every cell reaches every other, no vector is written once per block that it meets."""
+    rng = np.random.default_rng(4)
+    n, length = 600, 16
+    x = rng.normal(size=(n, length))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    params = AuditParams(tile_rows=50)
+    blocks = similarity.vector_blocks(df, 0.3, params).collect()
+    assert sorted(i for b in blocks for i in b.ids) == list(range(n))
+    assert len(blocks) >= n / 50 and all(len(b.numbers) == length * len(b.ids) for b in blocks)
+    assert sum(len(b.reached) for b in blocks) > len(blocks) * len({b.cell for b in blocks}) / 2
+    found = {(r.id, r.other): r.similarity for r in similarity._nearest_vectors(df, 0.3, 4, params).collect()}
+    expected = brute_force(range(n), lambda i, j: float(x[i] @ x[j]), 4, 0.3)
+    assert {i: sorted(j for k, j in found if k == i) for i in expected} == {
+        i: sorted(j for j, _ in near) for i, near in expected.items()
+    }
