@@ -232,3 +232,30 @@ def test_spread_out_vectors_are_in_one_block_each(spark):
     assert {i: sorted(j for k, j in found if k == i) for i in expected} == {
         i: sorted(j for j, _ in near) for i, near in expected.items()
     }
+
+
+def test_terms_are_looked_up_in_batches(spark):
+    """Small batches, parts and groups of pairs change nothing; vectors leave out lonely terms."""
+    texts = texts_with_copies(5)
+    params = AuditParams(text_batch_rows=4, term_bucket=50, pair_group=5)
+    got = collected(similarity.similar_texts(table(spark, [invoice(raw_text=t) for t in texts]), params, floor=0.5))
+    ids, product = text_product(texts)
+    expected = brute_force(ids, product, 3, 0.5)
+    assert got == {i: [(j, round(s, 3)) for j, s in found] for i, found in expected.items()}
+
+    rows = spark.createDataFrame([(0, "a b c"), (1, "a b d"), (2, "x y"), (3, "")], "id long, text string")
+    found = {r.id: r for r in similarity.text_vectors(rows, params).collect()}
+    assert set(found) == {0, 1} and len(found[0].terms) == 3  # a, b and their pair
+    log = math.log(5 / 3)
+    own, lonely = 3 * (1 + log) ** 2, 2 * (1 + math.log(5 / 2)) ** 2
+    assert math.isclose(found[0].alone, lonely / (own + lonely))
+    assert math.isclose(found[0].weights[0], (1 + log) / math.sqrt(own + lonely))
+
+
+def test_an_id_that_comes_twice_is_one_text(spark):
+    rows = [(0, "a b c d"), (0, "a b c d"), (1, "a b c d e"), (2, "f g h a")]
+    once = spark.createDataFrame(rows[1:], "id long, text string")
+    twice = spark.createDataFrame(rows, "id long, text string")
+    one, two = ({r.id: r for r in similarity.text_vectors(df).collect()} for df in (once, twice))
+    assert set(one) == set(two)
+    assert all(one[i].terms == two[i].terms and np.allclose(one[i].weights, two[i].weights) for i in one)
