@@ -259,3 +259,16 @@ def test_an_id_that_comes_twice_is_one_text(spark):
     one, two = ({r.id: r for r in similarity.text_vectors(df).collect()} for df in (once, twice))
     assert set(one) == set(two)
     assert all(one[i].terms == two[i].terms and np.allclose(one[i].weights, two[i].weights) for i in one)
+
+
+def test_long_and_few_texts_are_compared_without_tiles(spark, monkeypatch):
+    """Crowded cells of long texts carry no vector of their own for each row."""
+    monkeypatch.setattr(similarity, "_within_tiles", lambda *_: pytest.fail("vectors copied to a cell"))
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(300)}" for _ in range(150)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i:]]) for i in range(0, 150, 15)]
+    rows = [invoice(raw_text=t) for t in texts]
+    got = collected(similarity.similar_texts(table(spark, rows), AuditParams(pair_rows=2)))
+    ids, product = text_product(texts)
+    expected = brute_force(ids, product, 3, 0.85)
+    assert got == {i: [(j, round(s, 3)) for j, s in found] for i, found in expected.items()}
