@@ -146,6 +146,23 @@ def test_retry_prompts_carry_the_error(spark):
     assert got["d", "ocr_llm"].endswith(fixed.RETRY_OCR_TEXT + "t")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_retry_requests_ask_a_written_table(spark):
+    # one pass parses the answers; a filter on the parsed fields would parse them again for each
+    plan = plan_of(requests.retry_requests(*tier_tables(spark)))
+    assert "parseJson" not in plan and "variant_get" not in plan
+
+
+@pytest.mark.parametrize("raw", ["", " ", "\u2003x", "x\x1c", "x \n", "\x85x y\u2028", "x", "a\n b", "\n```\nx\n``` "])
+def test_space_around_answers(spark, raw):
+    df = spark.createDataFrame([(raw,)], "raw string")
+    got = df.select(responses.clean_answer(F.col("raw"))).first()[0]
+    assert got == ("x\n" if "```" in raw else raw.strip())
+
+
 def test_first_prompts(spark):
     images, _ = tier_tables(spark)
     text = {r["image_path"]: r["prompt"] for r in requests.text_requests(images).collect()}
