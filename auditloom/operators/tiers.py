@@ -40,7 +40,8 @@ def extract_invoices(
     counts only after a first answer that was there but could not be used; OCR
     answers count only where the image has text.
     """
-    attempts = parsed_attempts(responses, params)
+    # a missing answer is no candidate and allows no retry
+    attempts = parsed_attempts(responses.filter(F.col("raw").isNotNull()), params)
 
     def of(tier: str, number: int, value: Column) -> Column:
         return F.first(F.when(_attempt(tier, number), value), ignorenulls=True)

@@ -156,6 +156,15 @@ def test_retry_requests_ask_a_written_table(spark):
     assert "parseJson" not in plan and "variant_get" not in plan
 
 
+def test_missing_answers_are_not_parsed(spark):
+    images, answers = tier_tables(spark)
+    none = spark.createDataFrame([(n, t, a, None) for n in "gh" for t in ("vlm", "ocr_llm") for a in (1, 2)], RESPONSES)
+    chosen = tiers.extract_invoices(images, answers.unionByName(none))
+    assert "isnotnull(raw" in plan_of(chosen)
+    got = {r["image_path"]: r["extraction_method"] for r in chosen.collect()}
+    assert got == {name: method for name, (_, _, method) in TIERS.items()}
+
+
 @pytest.mark.parametrize("raw", ["", " ", "\u2003x", "x\x1c", "x \n", "\x85x y\u2028", "x", "a\n b", "\n```\nx\n``` "])
 def test_space_around_answers(spark, raw):
     df = spark.createDataFrame([(raw,)], "raw string")
