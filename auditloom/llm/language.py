@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm.text import slices
 from auditloom.session import materialise
 
 LOG_FEATURES = 14
@@ -121,7 +122,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 if lang not in sums:
                     sums[lang] = np.zeros(FEATURES, dtype=np.int64)
@@ -155,7 +156,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
     """Fit a logistic curve to each bit's margins on the sample, and its trust."""
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches):
             raw = [model.raw(ngram_counts(t)).tolist() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), pa.array(raw, pa.list_(pa.float64()))], ["lang", "raw"]
@@ -196,7 +197,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def rows(batches):
         own = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [own.predict(t) for t in batch.column("text").to_pylist()]
             columns = list(zip(*found)) if found else [[]] * 3
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +226,7 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
 
     def rows(batches):
         own = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [own.predict(t) for t in batch.column("text").to_pylist()]
             keep = pa.array([lang != UNKNOWN and not close for lang, _, close in found], pa.bool_())
             yield batch.select(names).filter(keep)

@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from auditloom.llm.text import release, slices
+
 END_ID = 1
 _END = np.array([END_ID], dtype="<u4")
 _NONE = np.array([], dtype="<u4")
-# rows whose ids are held before they are placed
-_ROWS = 1000
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 # fixed value: the special token that the tokenizer reads in running text
@@ -256,20 +256,20 @@ def pack(docs: DataFrame, limits: Limits = Limits(), cut: bool = True, prompt: s
     def rows(batches):
         encoder = Encoder()
         packer = Packer(limits, cut, TaskContext.get().partitionId() << 33)
-        for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
-                ids = encoder.encode(part.column("text"))
-                front = encoder.encode(part.column("prompt")) if prompt else [_NONE] * len(ids)
-                for doc_id, ahead, body in zip(part.column("doc_id").to_pylist(), front, ids):
-                    whole = np.concatenate([ahead, body, _END])
-                    loss = np.maximum(np.arange(len(whole) + 1) - len(ahead), 0)
-                    packer.add(_Example(doc_id, whole, loss))
-                    if len(packer.pool) >= 2 * POOL:
-                        packer.fill(POOL)
-                yield _batch(packer)
+        for part in slices(batches):
+            ids = encoder.encode(part.column("text"))
+            front = encoder.encode(part.column("prompt")) if prompt else [_NONE] * len(ids)
+            for doc_id, ahead, body in zip(part.column("doc_id").to_pylist(), front, ids):
+                whole = np.concatenate([ahead, body, _END])
+                loss = np.maximum(np.arange(len(whole) + 1) - len(ahead), 0)
+                packer.add(_Example(doc_id, whole, loss))
+                if len(packer.pool) >= 2 * POOL:
+                    packer.fill(POOL)
+            yield _batch(packer)
+        del encoder
         packer.finish()
         yield _batch(packer)
+        release()
 
     columns = ["doc_id", "text"] + ([f"`{prompt}` as prompt"] if prompt else [])
     return docs.selectExpr(*columns).mapInArrow(rows, SCHEMA)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from auditloom.llm.components import components
-from auditloom.llm.text import texts, unused, words
+from auditloom.llm.text import slices, texts, unused, words
 from auditloom.session import materialise
 
 BITS = 64
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     """``doc_id`` and ``fingerprint`` (long, same bits) of each row of ``docs``."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, shingle_words) for t in texts(batch.column("text"))]
             signed = np.array(found, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -233,7 +233,7 @@ def first_of_group(
     name = unused("_print", docs.columns)
 
     def marked(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, shingle_words) for t in texts(batch.column("text"))]
             signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*batch.schema.names, name])

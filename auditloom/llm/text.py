@@ -1,7 +1,13 @@
 """Words as byte strings, shared by the operators that work on word sequences."""
 
+import ctypes
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 
+# rows of a batch that are worked on at a time
+ROWS = 1000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -31,3 +37,23 @@ def unused(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, at most ROWS at a time.
+
+    Python copies of a few texts only are held, and what a task no longer needs goes back to
+    the system: a worker stays for later tasks, beside those of other stages.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+    release()
+
+
+def release() -> None:
+    """Return freed memory to the system, as far as the C library knows how."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -101,3 +101,18 @@ def test_prompts_bear_no_loss(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, prompt string")
     for r in packing.pack(docs, cut=False, prompt="prompt").collect():
         assert r.loss_tokens == (r.doc_tokens - 3 if r.doc_id == 1 else r.doc_tokens)
+
+
+def test_tasks_hold_slices_and_return_memory(monkeypatch):
+    import pyarrow as pa
+
+    from auditloom.llm import text
+
+    returned = []
+    monkeypatch.setattr(text, "release", lambda: returned.append(True))
+    sizes = (0, 1, text.ROWS, 2 * text.ROWS + 5)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], ["doc_id"]) for n in sizes]
+    found = list(text.slices(batches))
+    assert max(b.num_rows for b in found) <= text.ROWS
+    assert [x for b in found for x in b.column(0).to_pylist()] == [x for n in sizes for x in range(n)]
+    assert returned == [True]
