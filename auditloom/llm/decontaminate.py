@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.text import unused
+from auditloom.llm.text import release, slices, unused
 from auditloom.session import materialise
 
 K1, B = 1.2, 0.75
@@ -288,29 +288,39 @@ def _search(
     spark = docs.sparkSession
     source = docs.select("doc_id", "text").filter("text is not null")
     schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double, start long"
-    result = spark.createDataFrame([], schema)
+    # without rows, and without a Python process that making it from Python would start
+    result = spark.range(0, 0, 1, 1).selectExpr(*[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in schema.split(", ")])
     for indexes in _passes(_indexes(benchmark, index_items), PASS_BYTES):
         # bounded by PASS_BYTES, or by one index of index_items items and INDEX_WORDS words
         shared = spark.sparkContext.broadcast(indexes)
 
         def rows(batches, shared=shared):
-            for batch in batches:
-                ids, texts, size = [], [], 0
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    ids.append(doc_id)
-                    texts.append(tokens(text))
-                    size += len(texts[-1])
-                    if size >= CHUNK_WORDS:
-                        for index in shared.value:
-                            yield _verified(index, ids, texts, threshold, overlap, kind)
-                        ids, texts, size = [], [], 0
-                for index in shared.value:
-                    yield _verified(index, ids, texts, threshold, overlap, kind)
+            return _leaks(batches, shared.value, threshold, overlap, kind)
 
         result = result.unionByName(source.mapInArrow(rows, schema))
     return result
 
 
+def _leaks(batches, indexes: list[Index], threshold: float, overlap: float, kind: str):
+    """The items found in ``batches``, CHUNK_WORDS words of documents at a time."""
+
+    def found():
+        return (_verified(index, ids, texts, threshold, overlap, kind) for index in indexes)
+
+    ids, texts, size = [], [], 0
+    for batch in slices(batches):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            ids.append(doc_id)
+            texts.append(tokens(text))
+            size += len(texts[-1])
+            if size >= CHUNK_WORDS:
+                yield from found()
+                ids, texts, size = [], [], 0
+    yield from found()
+    del ids, texts
+    release()
+
+
 def _verified(index: Index, ids: list, texts: list, threshold: float, overlap: float, kind: str) -> pa.RecordBatch:
     best = {}
     for n, start, item, score in index.search(texts, threshold):

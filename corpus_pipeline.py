@@ -8,6 +8,8 @@ packed as a single end id where a later stage gets one; null doc_ids are no erro
 rows without one are told apart by their text. Repeated rows are copies: near-dedup leaves one.
 """
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +17,38 @@ from auditloom.llm import decontaminate, language, packing, secrets, simhash
 from auditloom.session import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# bytes of rows that a Python task is given at a time; a longer row comes alone
+BATCH_BYTES = 1 << 20
+
+
+def _in_small_batches(stage):
+    """``stage``, with BATCH_BYTES set in the session, since rows flow only when its result is read.
+
+    An executor holds such a batch several times over, in the JVM and in Python, for each task,
+    and the C library keeps what the largest ones have used.
+    """
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return bounded
 
 
+@_in_small_batches
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or too close to two languages to tell, go."""
     return language.accepted(docs.select(*COLUMNS), language.train(docs))
 
 
+@_in_small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id."""
     return simhash.first_of_group(docs).select(*COLUMNS)
 
 
+@_in_small_batches
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -39,6 +61,7 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(docs)

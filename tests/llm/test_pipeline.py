@@ -96,6 +96,25 @@ def test_odd_and_empty_tables(spark, tmp_path):
         assert not left & {0, 1, 2, 3, 7, 8, 9, None}
 
 
+def test_python_tasks_get_small_batches(spark, tmp_path):
+    import pyarrow as pa
+
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", corpus_pipeline.BATCH_BYTES
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = spark.range(0, 8_000, 1, 1).selectExpr("id", "repeat('x', 2000) as text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, cases.empty(spark), str(tmp_path))
+        if name != "secret scans":  # expressions only
+            found = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+            assert sum(found) > 3 * most and max(found) <= most + 10_000, name
+
+
 def test_queries_are_registered():
     registered = entry_point.queries()
     assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}

@@ -96,6 +96,38 @@ def test_a_long_item_changes_nothing_for_short_ones(spark, sf_dir):
     assert [len(g) for g in decontaminate._passes(iter(indexes), 1 << 30)] == [len(indexes)]
 
 
+def test_leaks_are_the_same_however_rows_are_dealt(spark, monkeypatch):
+    import pyarrow as pa
+
+    draw, returned = random.Random(8), []
+    items = [cases.sentence(draw, 40) for _ in range(3)]
+    rows = [(i, cases.sentence(draw, 50) + " " + (items[i % 3] if i % 4 == 0 else "")) for i in range(30)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    indexes = list(decontaminate._indexes(benchmark, 2_000))
+    monkeypatch.setattr(decontaminate, "release", lambda: returned.append(True))
+    results = []
+    for most, words in ((30, 200_000), (7, 200_000), (1, 200_000), (30, 60), (7, 130)):
+        monkeypatch.setattr(decontaminate, "CHUNK_WORDS", words)
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.string()))]
+        whole = pa.RecordBatch.from_arrays(columns, ["doc_id", "text"])
+        batches = [whole.slice(at, most) for at in range(0, len(rows), most)]
+        found = decontaminate._leaks(iter(batches), indexes, 0.5, 0.8, "long")
+        results.append(sorted(tuple(r.values()) for b in found for r in b.to_pylist()))
+    assert {r[0] for r in results[0]} == {i for i in range(30) if i % 4 == 0}
+    assert all(r == results[0] for r in results) and len(returned) == 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, decontaminate.find_leaks(docs, benchmark).collect())) == results[0]
+
+
+def test_leaks_start_no_python_besides_the_search(spark):
+    """Rows of the result come from the documents; a frame made in Python has tasks of its own."""
+    benchmark = spark.range(1).selectExpr("id as item_id", "'a b c d e f' as text")
+    docs = spark.range(3).selectExpr("id as doc_id", "'a b c' as text")
+    for found in (decontaminate.find_leaks(docs, benchmark), decontaminate.find_leaks(docs, benchmark.limit(0))):
+        assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+        assert dict(found.dtypes)["doc_id"] == "bigint" and len(found.columns) == 6
+
+
 def test_search_misses_no_score(spark):
     draw = np.random.default_rng(0)
     vocabulary = [f"w{i}" for i in range(120)]
