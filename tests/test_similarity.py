@@ -1,6 +1,7 @@
 """Similarity joins against brute force, with cells forced through every path."""
 
 import math
+import os
 import random
 from collections import Counter
 from dataclasses import replace
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from auditloom import session
 from auditloom.operators import similarity
 from auditloom.params import AuditParams
 from tests.test_rules import invoice, table
@@ -272,3 +274,74 @@ def test_long_and_few_texts_are_compared_without_tiles(spark, monkeypatch):
     ids, product = text_product(texts)
     expected = brute_force(ids, product, 3, 0.85)
     assert got == {i: [(j, round(s, 3)) for j, s in found] for i, found in expected.items()}
+
+
+def near_copies(n, seed):
+    """``n`` texts of 60 words, all but a few words the same, and as many other ones."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(200)}" for _ in range(60)]
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            words[rng.randrange(60)] = f"v{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    others = [" ".join(f"w{rng.randrange(400)}" for _ in range(40)) for _ in range(n)]
+    return list(dict.fromkeys(texts + others))
+
+
+@pytest.mark.parametrize("tile", [10, 40, 1_000])
+def test_texts_alike_are_in_one_block_each(spark, monkeypatch, tile):
+    """A crowd of near copies is not written once for each cell or pair of tiles that a text is in."""
+    blocks, make = [], similarity.text_blocks
+
+    def seen(*args):
+        found = make(*args)
+        blocks.extend(found.select("ids", "sizes", "prefix", "terms").collect())
+        return found
+
+    monkeypatch.setattr(similarity, "text_blocks", seen)
+    texts = near_copies(90, 12)
+    params = AuditParams(pair_rows=20, tile_rows=tile)
+    got = collected(similarity.similar_texts(table(spark, [invoice(raw_text=t) for t in texts]), params, floor=0.8))
+    ids, product = text_product(texts)
+    expected = brute_force(ids, product, 3, 0.8)
+    assert got == {i: [(j, round(s, 3)) for j, s in found] for i, found in expected.items()}
+    placed = [i for b in blocks for i in b.ids]
+    assert len(placed) == len(set(placed)) >= 60
+    assert all(len(b.terms) == sum(b.sizes) and len(b.ids) <= 3 * tile for b in blocks)
+    assert all(0 < p <= n for b in blocks for p, n in zip(b.prefix, b.sizes))
+
+
+def test_large_families_go_to_few_groups(spark):
+    """A clique of 120 texts, cut into groups of pairs: each text goes to a share of them."""
+    pairs = [(i, j) for i in range(120) for j in range(i + 1, 120)] + [(i, i + 1) for i in range(1_000, 1_400, 2)]
+    df = spark.createDataFrame(pairs, "id long, other long")
+    grouped = similarity._together(df, AuditParams(pair_group=100)).collect()
+    assert sorted((r.id, r.other) for r in grouped) == sorted(pairs)
+    groups = {}
+    for r in grouped:
+        groups.setdefault(r.id, set()).add(r.group)
+        groups.setdefault(r.other, set()).add(r.group)
+    # 7,140 pairs in pieces of 200: six by six, and a text is on either side
+    assert max(len(groups[i]) for i in range(120)) <= 12
+    assert all(len(groups[i]) == 1 for i in range(1_000, 1_400))
+
+
+def test_tables_on_the_way_go(spark):
+    """Texts, vectors and cells are deleted when the neighbours are found, shuffle files before."""
+    folder = session.work_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    similarity.similar_texts(table(spark, [invoice(raw_text=t) for t in near_copies(40, 13)]), AuditParams(pair_rows=5))
+    left = [spark.read.parquet(f"{folder}/{name}").columns for name in set(os.listdir(folder)) - before]
+    assert left and not any({"contents", "terms", "group"} & set(columns) or {"cell", "id"} <= set(columns) for columns in left)
+
+    def shuffle_files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {b.name() for b in (manager.getAllBlocks().apply(i) for i in range(manager.getAllBlocks().size())) if b.isShuffle()}
+
+    there = shuffle_files()
+    written = session.materialise(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert shuffle_files() <= there
+    session.discard(written)
+    assert not os.path.exists(written.inputFiles()[0].removeprefix("file://"))
